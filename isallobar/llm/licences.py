@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright[ \t]*(\(c\)|©|[0-9])|\(c\)[ \t]|©|all rights reserved)[^\n]*"
 FOLDED = r"[\x00-\x2f\x3a-\x60\x7b-\x7f\x{a0}“”‘’–—…•©]+"
 # Spellings that the public licence matching guidelines count as equal.
 EQUIVALENT = (
