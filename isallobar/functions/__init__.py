@@ -1,0 +1 @@
+"""Column expressions; everything here runs inside the JVM."""

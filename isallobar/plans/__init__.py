@@ -1,0 +1 @@
+"""Manifests, the catalog, cycle orchestration, and the registered queries."""

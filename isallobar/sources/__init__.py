@@ -1,0 +1 @@
+"""Where fields come from: synthetic grids, array files, staged Parquet, published stores."""

@@ -1,0 +1 @@
+"""Structured Streaming forms of the cycle: buckets, progressive publishing, stateful tracking."""
