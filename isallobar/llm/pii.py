@@ -125,7 +125,7 @@ def _pattern(number: bool, x: Column) -> Column:
         F.rlike(text, F.lit(rf"^{BYTE}(?:\.{BYTE}){{3}}$")).cast("int") if number else F.lit(0),
         (F.rlike(x["before"], F.lit(r"[\p{L}\p{N}_]$")) | F.rlike(x["after"], F.lit(r"^[\p{L}\p{N}_]"))).cast("int"),
         F.rlike(x["before"], F.lit(CUES)).cast("int"),
-        F.when(F.rlike(text, F.lit(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}[.,;:!?)]*$")), 2).when(F.rlike(text, F.lit(r"@[^@]*\.")), 1).otherwise(0) if not number else F.lit(0),
+        F.when(F.rlike(text, F.lit(r"@.*\.[A-Za-z]{2,}[.,;:!?)]*$")), 2).when(F.rlike(text, F.lit(r"@[^@]*\.")), 1).otherwise(0) if not number else F.lit(0),
     ]
     key: Column = F.lit(0)
     for (_, values), flag in zip(FEATURES, flags, strict=True):
@@ -277,11 +277,19 @@ def all_spans(chooser: Chooser) -> dict[str, Column]:
     """Base and added spans of each kind, by start, for rows of :func:`with_spans`."""
     shape = "array<struct<kind:string,start:int,end:int,pattern:int,hit:boolean>>"
     added = F.filter("pii_candidates", lambda x: ~x["hit"] & x["pattern"].isin(*chooser.accepted)) if chooser.accepted else F.array().cast(shape)
-    return {k: F.array_sort(F.concat(F.col("pii_base")[k], F.transform(F.filter(added, lambda x, k=k: x["kind"] == k), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))) for k in KINDS}
+
+    def of(kind: str) -> Column:
+        own = F.filter(added, lambda x: x["kind"] == F.lit(kind))
+        return F.array_sort(F.concat(F.col("pii_base")[kind], F.transform(own, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))))
+
+    return {k: of(k) for k in KINDS}
 
 
 def _joined(spans: dict[str, Column]) -> Column:
-    return F.array_join(F.concat(*(F.transform(spans[k], lambda x, k=k: F.concat_ws(":", F.lit(k), x["start"].cast("string"), x["end"].cast("string"))) for k in KINDS)), ",")
+    def of(kind: str) -> Column:
+        return F.transform(spans[kind], lambda x: F.concat_ws(":", F.lit(kind), x["start"].cast("string"), x["end"].cast("string")))
+
+    return F.array_join(F.concat(*(of(k) for k in KINDS)), ",")
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
@@ -307,7 +315,11 @@ def redact(docs: DataFrame) -> DataFrame:
     chooser = learned(with_spans(docs.select("text")).drop("text"))
     marked = with_spans(docs.select(F.struct(*docs.columns).alias("row"), "text"))
     spans = all_spans(chooser)
-    every = F.array_sort(F.concat(*(F.transform(spans[k], lambda x, k=k: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(k).alias("kind"))) for k in KINDS)))
+
+    def of(kind: str) -> Column:
+        return F.transform(spans[kind], lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(kind).alias("kind")))
+
+    every = F.array_sort(F.concat(*(of(k) for k in KINDS)))
 
     def step(acc: Column, x: Column) -> Column:
         after = F.when(
