@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from isallobar.functions import names, physics
 from isallobar.operators import assemble, fronts, pressure, pyramid, tiling
+from isallobar.operators.fronts import Settings
 from isallobar.operators.grid import Grid, rolled_to_signed
 from isallobar.plans import catalog
 from isallobar.plans.manifest import STATIC, ModelManifest, get_manifest
@@ -36,7 +37,7 @@ class ModelRun:
     pack: bool | None = None
     fronts: bool = False
     pressure: bool = False
-    settings: fronts.Settings = field(default_factory=fronts.Settings)
+    settings: Settings = field(default_factory=Settings)
 
 
 @dataclass(frozen=True)
@@ -126,7 +127,7 @@ def write_pressure(source: GridSource, cycle: Cycle, folder: str) -> str | None:
     return name
 
 
-def write_fronts(spark: SparkSession, folder: str, steps: Sequence[dict], grid: Grid, settings: fronts.Settings = fronts.Settings()) -> dict[str, str]:
+def write_fronts(spark: SparkSession, folder: str, steps: Sequence[dict], grid: Grid, settings: Settings = Settings()) -> dict[str, str]:
     """Write front lines of all steps of a cycle; a step that cannot be read is left out.
 
     All steps are traced in one plan, so ids agree over the cycle; each good step is tracked
@@ -211,7 +212,7 @@ def run_cycle(runs: Sequence[ModelRun], source: GridSource, date: str, hour: int
     return {m: [f"{root}/{m}/{e['store']}" for e in own] for m, own in entries.items() if own}
 
 
-def attach_fronts(spark: SparkSession, folder: str, entries: list[dict], grid: Grid, settings: fronts.Settings) -> None:
+def attach_fronts(spark: SparkSession, folder: str, entries: list[dict], grid: Grid, settings: Settings) -> None:
     """Write the steps' front lines and name them in their entries; old names go. Never raises."""
     try:
         found = write_fronts(spark, folder, entries, grid, settings)
@@ -224,7 +225,7 @@ def attach_fronts(spark: SparkSession, folder: str, entries: list[dict], grid: G
             entry["fronts"] = name
 
 
-def backfill_fronts(spark: SparkSession, root: str, grid: Grid, settings: fronts.Settings = fronts.Settings()) -> dict[str, int]:
+def backfill_fronts(spark: SparkSession, root: str, grid: Grid, settings: Settings = Settings()) -> dict[str, int]:
     """Add front lines to the cycle that each model's pointer names; returns steps by model."""
     storage, out = Storage(spark), {}
     for model, folder, _ in storage.names(root):
@@ -308,7 +309,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     spark = SparkSession.builder.appName("isallobar cycle").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     now = datetime.now(timezone.utc)
     then = datetime.strptime(args.cycle, "%Y-%m-%dT%H") if args.cycle else now - timedelta(hours=args.lag)
-    run = ModelRun(get_manifest(args.model), tiling.OnnxPredictor(args.onnx), fronts=args.fronts, pressure=args.pressure, settings=fronts.Settings(threshold=args.threshold))
+    run = ModelRun(get_manifest(args.model), tiling.OnnxPredictor(args.onnx), fronts=args.fronts, pressure=args.pressure, settings=Settings(threshold=args.threshold))
     done = run_cycle([run], StagedSource(spark, args.fields, Grid(args.rows, args.cols)), then.strftime("%Y-%m-%d"), then.hour // 6 * 6, args.output)
     try:
         prune(spark, args.output, now, args.keep_days)

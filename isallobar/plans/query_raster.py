@@ -100,8 +100,8 @@ def _pass_sql(table: str) -> str:
 
 @query(f"""WITH {GRID}, {STARTS}, north AS (SELECT r, c, v AS a, v % 3e1 - 15e0 AS b FROM grid), south AS (SELECT 23 - r AS r, c, a, CASE WHEN {LAT} < 0 THEN -b ELSE b END AS b FROM north),
 one AS ({_pass_sql('north')}), two AS ({_pass_sql('south')})
-SELECT r, CAST(c AS INTEGER) AS c, cls, {r('p', 4)} AS p FROM one WHERE {LAT} >= 0
-UNION ALL SELECT CAST(23 - r AS INTEGER), CAST(c AS INTEGER), cls, {r('p', 4)} FROM two WHERE {LAT.replace('r ', '(23 - r) ')} < 0""")
+SELECT r, CAST(c AS INTEGER) AS c, cls, {r('p', 8)} AS p FROM one WHERE {LAT} >= 0
+UNION ALL SELECT CAST(23 - r AS INTEGER), CAST(c AS INTEGER), cls, {r('p', 8)} FROM two WHERE {LAT.replace('r ', '(23 - r) ')} < 0""")
 def tiled_inference(spark, sf_dir):
     inputs = grid_cells(spark, sf_dir).select(F.lit(0).alias("step"), "r", "c", F.array(F.col("v"), part("v", 30) - 15.0).alias("channels"))
 
@@ -111,7 +111,7 @@ def tiled_inference(spark, sf_dir):
         return tiled.select("step", "r", "c", "weight", found.alias("probabilities"))
 
     out = tiling.tiled_inference(inputs, ["step"], SMALL, TWO, patch=16, overlap=6, predict=predict)
-    return out.select("r", "c", "cls", rounded("p", 4).alias("p"))
+    return out.select("r", "c", "cls", rounded("p", 8).alias("p"))
 
 
 @query()
