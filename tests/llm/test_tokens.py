@@ -1,5 +1,6 @@
 """Encoding, packing and id matrices against the tokenizers library and exact round trips."""
 
+import functools
 import hashlib
 import itertools
 import random
@@ -17,9 +18,14 @@ from isallobar.llm.queries import vocabulary_path
 from tests.llm.fixtures import TEXTS, documents, empty, prose
 
 
+@functools.cache
+def shared_library():
+    return Tokenizer.from_file(vocabulary_path())
+
+
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(vocabulary_path())
+    return shared_library()
 
 
 @pytest.fixture(scope="module")
@@ -37,9 +43,8 @@ def test_texts_encode_as_the_library_does(library, table):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("aàs'tvremld  \n\t12.!_é日😀 ½<|endoftext>"), max_size=40), max_size=6))
 def test_random_texts_encode_as_the_library_does(texts):
-    library, table = Tokenizer.from_file(vocabulary_path()), bpe.MergeTable.load(vocabulary_path())
-    for text, ids in zip(texts, table.encode(texts), strict=True):
-        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    for text, ids in zip(texts, bpe.MergeTable.load(vocabulary_path()).encode(texts), strict=True):
+        assert ids.tolist() == shared_library().encode(text, add_special_tokens=False).ids
 
 
 def test_words_that_share_a_hash_are_told_apart(monkeypatch, table):
