@@ -120,7 +120,8 @@ def isobars(df: DataFrame, keys: list[str], value: str, grid: Grid, interval: fl
             out.append(points.tolist())
         is_major = bool(np.isclose(level / major, round(level / major)))
         head = {k: [part[k].iloc[0]] * len(out) for k in keys}
-        return pd.DataFrame(head | {"hpa": [int(round(level))] * len(out), "major": [is_major] * len(out), "coordinates": out})
+        found = pd.DataFrame(head | {"hpa": [int(round(level))] * len(out), "major": [is_major] * len(out), "coordinates": pd.Series(out, dtype=object)})
+        return found.astype({"hpa": "int32", "major": bool, **{k: part[k].dtype for k in keys}})
 
     return flat.groupBy(*keys, "level").applyInPandas(draw, f"{schema + ', ' if schema else ''}hpa int, major boolean, coordinates array<array<double>>")
 

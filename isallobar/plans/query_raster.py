@@ -127,10 +127,10 @@ def model_inference(spark, sf_dir):
 @query(f"""WITH {PROBABILITIES}, l0 AS (SELECT cls, r, c, p FROM prob), l1 AS (SELECT cls, r // 2 AS r, c // 2 AS c, avg(p) AS p FROM l0 GROUP BY 1, 2, 3),
 l2 AS (SELECT cls, r // 2 AS r, c // 2 AS c, avg(p) AS p FROM l1 GROUP BY 1, 2, 3), l3 AS (SELECT cls, r // 2 AS r, c // 2 AS c, avg(p) AS p FROM l2 GROUP BY 1, 2, 3),
 l4 AS (SELECT cls, r // 2 AS r, c // 2 AS c, avg(p) AS p FROM l3 GROUP BY 1, 2, 3), l5 AS (SELECT cls, r // 2 AS r, c // 2 AS c, avg(p) AS p FROM l4 GROUP BY 1, 2, 3)
-SELECT level, cls, CAST(r AS INTEGER) AS r, CAST(c AS INTEGER) AS c, {r('p')} AS p FROM (SELECT 0 AS level, * FROM l0 UNION ALL SELECT 1, * FROM l1 UNION ALL SELECT 2, * FROM l2 UNION ALL SELECT 3, * FROM l3 UNION ALL SELECT 4, * FROM l4 UNION ALL SELECT 5, * FROM l5)""")
+SELECT level, cls, CAST(r AS INTEGER) AS r, CAST(c AS INTEGER) AS c, {r('p', 9)} AS p FROM (SELECT 0 AS level, * FROM l0 UNION ALL SELECT 1, * FROM l1 UNION ALL SELECT 2, * FROM l2 UNION ALL SELECT 3, * FROM l3 UNION ALL SELECT 4, * FROM l4 UNION ALL SELECT 5, * FROM l5)""")
 def pyramid_mean(spark, sf_dir):
     level_0 = pyramid.level0(probabilities(spark, sf_dir), get_manifest("theta-e_uv_q")).drop("p").join(probabilities(spark, sf_dir), ["r", "c", "cls"])
-    return pyramid.mean_pyramid(level_0, ["cls"]).select("level", "cls", "r", "c", rounded("p").alias("p"))
+    return pyramid.mean_pyramid(level_0, ["cls"]).select("level", "cls", "r", "c", rounded("p", 9).alias("p"))
 
 
 GAPPY = "CASE WHEN k = 3 AND r % 7 = 0 THEN NULL ELSE p * 3 - 1e-1 END"
