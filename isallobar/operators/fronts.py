@@ -267,8 +267,9 @@ def symbol_sides(points: DataFrame, keys: list[str], grid: Grid, settings: Setti
     spots = F.array(*(F.struct(F.lit(s).alias("place"), x.alias("lon"), y.alias("lat")) for s in (1, 0, -1) for x, y in [geo.offset_point(F.col("lon"), F.col("lat"), F.col("east") * d * s, F.col("north") * d * s)]))
     beside = ready.select(*section, "query", "i", "east", "north", F.inline(spots)).withColumn("point", F.concat_ws("@", "query", F.col("place").cast("string")))
     # Spots on other arms of the same crest say nothing about this one.
-    arms = points.select(*keys, "front", F.col("line").alias("_line"), F.col("lon").alias("_lon"), F.col("lat").alias("_lat"))
-    close = beside.join(arms, [*keys, "front"]).where((F.col("line") != F.col("_line")) & (geo.haversine_km(F.col("lon"), F.col("lat"), F.col("_lon"), F.col("_lat")) < settings.clearance_km)).select(*keys, "point").distinct().withColumn("masked", F.lit(True))
+    arms = points.select(*keys, "front", F.lit(0).alias("point"), F.col("line").alias("other"), "lon", "lat")
+    met_arms = lines.within(beside.withColumn("query", F.col("point")), arms, [*keys, "front"], settings.clearance_km, ("line",), ("other",))
+    close = met_arms.where((F.col("line") != F.col("other")) & (F.col("km") < settings.clearance_km)).select(*keys, F.col("query").alias("point")).distinct().withColumn("masked", F.lit(True))
     spots_ = beside.join(close, [*keys, "point"], "left").withColumn("masked", F.coalesce("masked", F.lit(False)))
     clues = points.select(*section, "front_type").distinct()
     if air is not None:
@@ -284,7 +285,7 @@ def symbol_sides(points: DataFrame, keys: list[str], grid: Grid, settings: Setti
     if previous is not None:
         before = previous.select(*keys, "grp", F.concat_ws("/", *(F.col(c) for c in ("front", "line", "section", "i"))).alias("point"), F.col("lon").alias("plon"), F.col("lat").alias("plat"))
         group = [*keys, "grp"]
-        found = lines.nearest(ready.select(*group, "query", "lon", "lat"), before.select(*group, "point", F.col("plon").alias("lon"), F.col("plat").alias("lat")), group).where(F.col("km") <= settings.motion_km)
+        found = lines.nearest_within(ready.select(*group, "query", "lon", "lat"), before.select(*group, "point", F.col("plon").alias("lon"), F.col("plat").alias("lat")), group, settings.motion_km)
         met = ready.join(found, [*group, "query"]).join(before, [*group, "point"])
         east = F.radians(F.pmod(F.col("lon") - F.col("plon") + 180.0, F.lit(360.0)) - 180.0) * geo.EARTH_RADIUS_KM * F.cos(F.radians("lat"))
         north = F.radians(F.col("lat") - F.col("plat")) * geo.EARTH_RADIUS_KM

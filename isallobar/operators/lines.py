@@ -6,6 +6,8 @@ line, joins by the field a line belongs to, so groups stay as small as a line or
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -152,17 +154,30 @@ def nearest(queries: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame
     return met.groupBy(*keys, "query").agg(F.min(F.struct("km", "point")).alias("b")).select(*keys, "query", F.col("b.point").alias("point"), F.col("b.km").alias("km"))
 
 
-def within(queries: DataFrame, points: DataFrame, keys: list[str], km: float) -> DataFrame:
-    """Pairs (keys, query, point, km) no farther apart than ``km``.
+def within(queries: DataFrame, points: DataFrame, keys: list[str], km: float, query_columns: tuple[str, ...] = (), point_columns: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs (keys, query, point, km) no farther apart than ``km``, with further columns of both sides.
 
-    Points are dealt to bands of latitude as high as the reach, and queries look into their
-    own band and the two beside it, so the join has an equality key of the right size.
+    Points lie in cubes on the unit sphere whose edge is the reach as a chord; a query looks into
+    its own cube and those around it.  The join has an equality key of the right size everywhere,
+    at the poles and over the seam too.
     """
-    band = lambda lat: F.floor((F.col(lat) + 90.0) * geo.KM_PER_DEGREE / km).cast("int")
-    other = points.select(*keys, "point", F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), band("lat").alias("band"))
-    asked = queries.withColumn("band", F.explode(F.array(*(band("lat") + k for k in (-1, 0, 1)))))
-    met = asked.join(other, [*keys, "band"]).withColumn("km", geo.haversine_km(F.col("lon"), F.col("lat"), F.col("_lon"), F.col("_lat")))
-    return met.where(F.col("km") <= km).select(*keys, "query", "point", "km")
+    edge = 2 * math.sin(min(km / (2 * EARTH), math.pi / 2)) * (1 + 1e-9)
+
+    def cube() -> list[Column]:
+        return [F.floor((x + 1.0) / edge).cast("int") for x in geo.unit_vector(F.col("lon"), F.col("lat"))]
+
+    place = [c.alias(f"_{n}") for n, c in zip("xyz", cube(), strict=True)]
+    other = points.select(*keys, "point", *point_columns, F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), *place)
+    asked = queries.select(*keys, "query", *query_columns, "lon", "lat", *place)
+    for n in "xyz":
+        asked = asked.withColumn(f"_{n}", F.explode(F.array(*(F.col(f"_{n}") + k for k in (-1, 0, 1)))))
+    met = asked.join(other, [*keys, "_x", "_y", "_z"]).withColumn("km", geo.haversine_km(F.col("lon"), F.col("lat"), F.col("_lon"), F.col("_lat")))
+    return met.where(F.col("km") <= km).select(*keys, "query", "point", "km", *query_columns, *point_columns)
+
+
+def nearest_within(queries: DataFrame, points: DataFrame, keys: list[str], km: float) -> DataFrame:
+    """The nearest point no farther than ``km`` for each query that has one; ties to the smaller point."""
+    return within(queries, points, keys, km).groupBy(*keys, "query").agg(F.min(F.struct("km", "point")).alias("b")).select(*keys, "query", F.col("b.point").alias("point"), F.col("b.km").alias("km"))
 
 
 def masked_mean(value: Column, masked: Column) -> Column:
