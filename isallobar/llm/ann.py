@@ -64,8 +64,12 @@ def lower_bounds(bits: np.ndarray, length: np.ndarray, agreement: np.ndarray, qu
 
 
 def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Euclidean distances in double precision."""
-    return np.sqrt(((vectors - query) ** 2).sum(axis=1))
+    """Euclidean distances in double precision, squares added in the order of the components."""
+    total = np.zeros(len(vectors))
+    for k, x in enumerate(query.tolist()):
+        step = vectors[:, k] - x
+        total += step * step
+    return np.sqrt(total)
 
 
 def _blocks(rows: DataFrame, size: int, dimension: int, label: str, model: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
