@@ -22,6 +22,8 @@ from isallobar.llm.common import settle
 
 #: Random cosines, kernel width (in standard deviations), ridge and calibration grid.
 COSINES, KERNEL_WIDTH, RIDGE, GRID, SEED = 192, 6.0, 1e-3, 512, 11
+#: Statistics count up to so many deviations, and half at so many bytes: a few words say little.
+CLIP, SHORT_BYTES = 4.0, 40.0
 #: A document is kept from this calibrated score on.
 THRESHOLD = 0.7
 
@@ -114,7 +116,8 @@ class Model:
     grid: np.ndarray
 
     def lift(self, stats: np.ndarray) -> np.ndarray:
-        z = np.clip((stats - self.centre) / self.scale, -8, 8)
+        size = np.expm1(stats[:, :1])
+        z = np.clip((stats - self.centre) / self.scale, -CLIP, CLIP) * (size / (size + SHORT_BYTES))
         return np.concatenate([np.ones((len(z), 1)), np.sqrt(2 / len(self.phase)) * np.cos(z @ self.turn + self.phase)], axis=1)
 
     def raw(self, stats: np.ndarray) -> np.ndarray:
