@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isallobar.llm import packing, pii, quality, simhash
+from isallobar.llm import packing, pii, quality, shingles
 from isallobar.llm.common import settle, table
 from isallobar.llm.queries import vocabulary_path
 
@@ -15,8 +15,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest doc_id."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group linked by five-word shingles (similarity >= 0.8), the one with the smallest doc_id."""
+    return shingles.drop_near_duplicates(docs)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

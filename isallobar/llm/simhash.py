@@ -33,16 +33,18 @@ BLOCKS, BLOCK_BITS = 4, 16
 HOT = 64
 
 
-def fingerprint(text: str, words: int = SHINGLE) -> int:
-    """SimHash of one text: a bit is set if it is set in over half of the shingle hashes."""
+def shingle_hashes(text: str, words: int) -> list[int]:
+    """Hash of every run of so many words, or of all words where there are fewer."""
     found = text.encode().lower().split()
-    if not found:
-        return 0
     if len(found) < words:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(found), SEED)]
-    else:
-        hashed, join = xxhash.xxh64_intdigest, b" ".join
-        hashes = [hashed(join(x), SEED) for x in zip(*(found[k:] for k in range(words)), strict=False)]
+        return [xxhash.xxh64_intdigest(b" ".join(found), SEED)] if found else []
+    hashed, join = xxhash.xxh64_intdigest, b" ".join
+    return [hashed(join(x), SEED) for x in zip(*(found[k:] for k in range(words)), strict=False)]
+
+
+def fingerprint(text: str, words: int = SHINGLE) -> int:
+    """SimHash of one text: a bit is set if it is set in over half of the shingle hashes."""
+    hashes = shingle_hashes(text, words)
     total = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = np.array(hashes[at : at + (1 << 16)], "<u8")
