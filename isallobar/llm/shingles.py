@@ -133,9 +133,15 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """Keep of each group of near-duplicates the row with the smallest doc_id, all columns unchanged."""
+    """Keep one row of each group of near-duplicates, all columns unchanged.
+
+    It is a row with the smallest doc_id (null only if the group has no other) and, of
+    those, the least ``node``.  Rows are told apart by doc_id and text together, so a
+    doc_id that repeats with unrelated texts is kept once for each of their groups.
+    """
     marked = with_node(docs)
-    groups = settle(near_groups(marked), "groups")
-    named = marked.select("doc_id", "node").join(groups, "node")
-    keep = named.groupBy("component").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = marked.select("doc_id", "node").join(settle(near_groups(marked), "groups"), "node")
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first"))
+    keep = settle(first.select("first.doc_id", "first.node").toDF("doc_id_", "node_"), "kept")
+    same = (F.col("node") == F.col("node_")) & F.col("doc_id").eqNullSafe(F.col("doc_id_"))
+    return marked.join(keep, same, "left_semi").dropDuplicates(["node"]).select(*docs.columns)

@@ -115,8 +115,9 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     """Keep of each component the row with the smallest doc_id, all columns unchanged.
 
-    Of rows that repeat that doc_id, one is kept; rows with a null doc_id are kept
-    only as the last resort of a component that has no other.
+    Rows are chosen by doc_id: of rows that repeat it one is kept, whatever its text, and
+    components that have only null ids are dropped.  ``shingles.drop_near_duplicates``
+    chooses by row.
     """
     found = near_duplicates(docs, words)
     keep = found.where("component_id = doc_id").select("doc_id").distinct()

@@ -56,3 +56,14 @@ def test_a_near_copy_that_simhash_misses_goes(spark):
     docs = frame(spark, enumerate([" ".join(words), " ".join(other), "some other text of its own"]))
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [0, 2]
     assert corpus_pipeline.near_dedup(spark, docs.where("false"), "").count() == 0
+
+
+def test_rows_with_null_or_repeated_ids_keep_their_group(spark):
+    unique, copied, null = prose(1, 80), " ".join(f"c{k}" for k in range(80)), " ".join(f"n{k}" for k in range(80))
+    # doc_id 5 repeats: once as a copy of 3, once with a text of its own; two groups have only null ids or one beside a number.
+    rows = [(3, copied), (5, copied + " end"), (5, unique), (None, null), (None, null + " end"), (None, unique + " end"), (None, "alone"), (8, "x"), (8, "y"), (8, "y")]
+    kept = corpus_pipeline.near_dedup(spark, frame(spark, rows), "")
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    nulls = [t for k, t in got if k is None]
+    assert sorted(x for x in got if x[0] is not None) == [(3, copied), (5, unique), (8, "x"), (8, "y")]
+    assert len(nulls) == 2 and "alone" in nulls and (null in nulls or null + " end" in nulls)
