@@ -6,12 +6,14 @@ small vector of format and context features from a finite space.  The counts of
 each feature vector, with and without a base span inside, come to the driver (at
 most as many rows as there are vectors) where boosted trees are fitted to them.
 A threshold is calibrated on the counts of documents that were not fitted, and
-candidates whose score reaches it and that touch no base span are added.
+candidates whose score reaches it and that touch no base span are added; of those
+of a kind that overlap, the first.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +50,9 @@ CUES = r"(?i)(?:mail|contact|write|phone|tel|call|mobile|card|visa|pay|account|h
 CONTEXT = 24
 
 SPAN = "array<struct<start:int,end:int>>"
+PLACED = "array<struct<start:int,end:int,text:string,before:string,after:string>>"
+#: Digits of a part of a number run, and the most digits of a run that may be one phone number, so has no parts.
+PART_DIGITS, PHONE_DIGITS = (7, 19), 15
 
 
 def _hint(text: Column, hint: tuple[str, str]) -> Column:
@@ -76,8 +81,7 @@ def _placed(cut: Column) -> Column:
         text = F.get(found, i)
         return F.struct(start.alias("start"), (start + F.length(text)).alias("end"), text.alias("text"), F.right(F.get(pieces, i), F.lit(CONTEXT)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(CONTEXT)).alias("after"))
 
-    shape = "array<struct<start:int,end:int,text:string,before:string,after:string>>"
-    return F.when(F.size(found) > 0, F.transform(starts, one)).otherwise(F.array().cast(shape))
+    return F.when(F.size(found) > 0, F.transform(starts, one)).otherwise(F.array().cast(PLACED))
 
 
 def _digits(text: Column) -> Column:
@@ -142,6 +146,47 @@ def features_of(pattern: int) -> list[int]:
     return out[::-1]
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _parts(x: Column) -> Column:
+    """Proper parts of a placed number run that start and end at separators and have 7 to 19 digits."""
+
+    def of(groups: Column) -> Column:
+        def one(first: Column, i: Column) -> Column:
+            sign = F.regexp_extract(first["before"], "[+(]$", 0)
+            before = F.concat(F.right(x["before"], F.greatest(F.lit(0), F.lit(CONTEXT) - first["start"])), first["before"])
+
+            def step(acc: Column, t: Column) -> Column:
+                n = F.least(acc["n"] + F.length(t["text"]), F.lit(PART_DIGITS[1] + 1))
+                fits = n <= PART_DIGITS[1]
+                text = F.when(fits, F.concat(acc["text"], F.when(acc["n"] > 0, t["before"]).otherwise(""), t["text"])).otherwise("")
+                signed = (n < 13) & (sign != "")
+                start = first["start"] - F.when(signed, 1).otherwise(0)
+                after = F.when(t["after"] == "", x["after"]).otherwise(t["after"])
+                part = F.struct(
+                    (x["start"] + start).alias("start"),
+                    (x["start"] + t["end"]).alias("end"),
+                    F.when(signed, F.concat(sign, text)).otherwise(text).alias("text"),
+                    F.when(signed, F.left(before, F.length(before) - 1)).otherwise(before).alias("before"),
+                    after.alias("after"),
+                )
+                proper = (start > 0) | (t["end"] < F.length(x["text"]))
+                out = F.when(n.between(*PART_DIGITS) & proper, F.concat(acc["out"], F.array(part))).otherwise(acc["out"])
+                return F.struct(n.alias("n"), text.alias("text"), out.alias("out"))
+
+            empty = F.struct(F.lit(0).alias("n"), F.lit("").alias("text"), F.array().cast(PLACED).alias("out"))
+            return F.aggregate(F.slice(groups, i + 1, PART_DIGITS[1]), empty, step, lambda acc: acc["out"])
+
+        return F.flatten(F.transform(groups, one))
+
+    cut = F.struct(F.regexp_extract_all(x["text"], F.lit("[0-9]+"), F.lit(0)).alias("found"), F.split(x["text"], "[0-9]+", -1).alias("pieces"))
+    many = F.rlike(x["text"], F.lit(r"[0-9][^0-9]+[0-9]")) & (F.length(_digits(x["text"])) > PHONE_DIGITS)
+    return F.when(many, _let(_let(cut, _placed), of)).otherwise(F.array().cast(PLACED))
+
+
 def _touches(x: Column, spans: Column) -> Column:
     return F.exists(spans, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
 
@@ -150,7 +195,8 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add ``pii_base`` (spans by kind) and ``pii_candidates`` to every row.
 
     A candidate is (kind, start, end, pattern, hit), where ``hit`` says that a base span
-    touches it.  Null texts are empty.
+    touches it.  Number runs of more digits than a phone number has are candidates whole,
+    and so are their parts between separators that touch no base span.  Null texts are empty.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     cuts = [_cut(whole, RULES[k], HINTS[k]).alias(f"pii_{k}") for k in KINDS] + [_cut(whole, GENERATORS[k], GENERATOR_HINTS[k]).alias(f"pii_{k}") for k in GENERATORS]
@@ -163,18 +209,23 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def proposed(generator: str) -> Column:
         number = generator == "number"
-        shape = "array<struct<kind:string,start:int,end:int,pattern:int>>"
+        shape = "array<struct<kind:string,start:int,end:int,pattern:int,part:boolean>>"
 
-        def one(x: Column) -> Column:
+        def one(x: Column, part: bool = False) -> Column:
             n = F.length(_digits(x["text"]))
             kind = F.when(F.rlike(x["text"], F.lit(r"^[0-9]+(?:\.[0-9]+){3}$")), "ip").when(n >= 13, "card").otherwise("phone") if number else F.lit("email")
-            return F.struct(kind.alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _pattern(number, x).alias("pattern"))
+            return F.struct(kind.alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _pattern(number, x).alias("pattern"), F.lit(part).alias("part"))
 
-        return F.coalesce(F.transform(_placed(F.col(f"pii_{generator}")), one), F.array().cast(shape))
+        def every(runs: Column) -> Column:
+            whole = F.transform(runs, lambda x: one(x))
+            return F.concat(whole, F.transform(F.flatten(F.transform(runs, lambda x: _parts(x))), lambda x: one(x, part=True))) if number else whole
+
+        return F.coalesce(_let(_placed(F.col(f"pii_{generator}")), every), F.array().cast(shape))
 
     second = first.select(*(docs[c] for c in docs.columns), F.struct(*(base(k) for k in KINDS)).alias("pii_base"), F.concat(*(proposed(g) for g in GENERATORS)).alias("pii_found"))
     every = F.concat(*(F.col("pii_base")[k] for k in KINDS))
-    marked = F.transform("pii_found", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["pattern"].alias("pattern"), _touches(x, every).alias("hit")))
+    free = F.filter("pii_found", lambda x: ~x["part"] | ~_touches(x, every))
+    marked = F.transform(free, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["pattern"].alias("pattern"), _touches(x, every).alias("hit")))
     return second.select(*(second[c] for c in docs.columns), "pii_base", marked.alias("pii_candidates"))
 
 
@@ -273,13 +324,20 @@ def learned(marked: DataFrame) -> Chooser:
     return fit_chooser([(r.p, r.hit, r.out, r.n) for r in counts])
 
 
+def _apart(found: Column) -> Column:
+    """Of candidates of one kind that overlap, the first, and of those that start together the longest."""
+    ordered = F.array_sort(F.transform(found, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"))))
+    step = lambda acc, x: F.when(x["start"] >= acc["at"], F.struct((-x["back"]).alias("at"), F.concat(acc["out"], F.array(F.struct(x["start"].alias("start"), (-x["back"]).alias("end")))).alias("out"))).otherwise(acc)
+    return F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")), step, lambda acc: acc["out"])
+
+
 def all_spans(chooser: Chooser) -> dict[str, Column]:
     """Base and added spans of each kind, by start, for rows of :func:`with_spans`."""
     shape = "array<struct<kind:string,start:int,end:int,pattern:int,hit:boolean>>"
     added = F.filter("pii_candidates", lambda x: ~x["hit"] & x["pattern"].isin(*chooser.accepted)) if chooser.accepted else F.array().cast(shape)
 
     def of(kind: str) -> Column:
-        own = F.filter(added, lambda x: x["kind"] == F.lit(kind))
+        own = _apart(F.filter(added, lambda x: x["kind"] == F.lit(kind)))
         return F.array_sort(F.concat(F.col("pii_base")[kind], F.transform(own, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))))
 
     return {k: of(k) for k in KINDS}

@@ -90,3 +90,32 @@ def test_redaction(spark):
     assert rows[4, 1.0].text == "x [EMAIL] [PHONE] y" and rows[5, 1.0].text == "[IP] é"
     assert not base(rows[1, 1.0].text) and "[CARD]" in rows[1, 1.0].text and rows[1, 1.0].text.startswith("write to [EMAIL], or ")
     assert len(rows) == docs.count()
+
+
+def test_parts_of_a_failed_run_are_proposed_and_added(spark):
+    # The base rule takes both cards as one number of 32 digits and drops it.
+    two = "pay 7536784127813050 4845168114407329 now"
+    docs = documents(spark, [two, *("-" * (k % 60) + f" card 4111111111111111 call 555 123 {k}" for k in range(1000, 1600))])
+    marked = pii.with_spans(docs.select("doc_id", "text")).drop("text")
+    found = {(c.kind, c.start, c.end) for r in marked.where("doc_id = 0").collect() for c in r.pii_candidates}
+    assert found == {("card", 4, 37), ("card", 4, 20), ("card", 21, 37)}
+    rows = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    assert rows[0].spans == "card:4:20,card:21:37" and rows[0].n_card == 0
+    assert {r.text for r in pii.redact(docs).where("doc_id = 0").collect()} == {"pay [CARD] [CARD] now"}
+
+
+def test_parts_are_all_runs_of_groups(spark):
+    for text in ("+12 345 (678) 9012-3456.7890 123 4567890123 45 é", "x1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7 8 9 0 1 2", "5" * 25 + " 1234567 12"):
+        run = re.search(r"[+(]?[0-9](?:[ ().-]{0,2}[0-9])+", text)
+        groups = [(m.start() + run.start(), m.end() + run.start()) for m in re.finditer("[0-9]+", run[0])]
+        wanted = {run.span()}
+        for i, (start, _) in enumerate(groups):
+            for _, end in groups[i:]:
+                n = len(re.sub("[^0-9]", "", text[start:end]))
+                if 7 <= n <= 19:
+                    wanted.add((start - (n < 13 and text[start - 1 : start] in ("+", "(")), end))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        row = pii.with_spans(docs).first()
+        base = [(x.start, x.end) for k in pii.KINDS for x in row.pii_base[k]]
+        wanted = {w for w in wanted if w == run.span() or not any(a < w[1] and w[0] < b for a, b in base)}
+        assert {(c.start, c.end) for c in row.pii_candidates} == wanted, text
