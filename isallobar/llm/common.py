@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rough number of characters handled by one round of vectorised work.
 SLICE_CHARS = 2_000_000
@@ -18,14 +19,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(df: DataFrame, name: str) -> Column:
+    """The column called exactly so, dots and all."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct ``row``, out of the way of names that an operator adds."""
+    return F.struct(*(named(df, c).alias(c) for c in df.columns)).alias("row")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (single-machine tests) a temporary folder is made and remembered.
+    The cluster names it in ``spark.checkpoint.dir``; only where that is unset and the master
+    is local (tests on one machine) a temporary folder is made and remembered.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("isallobar.shared.dir", None)
     if not found:
+        own = spark._jsc.sc().getCheckpointDir()
+        if own.isDefined():
+            return own.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="isallobar-")
         spark.conf.set("isallobar.shared.dir", found)
     return found

@@ -5,11 +5,10 @@ most two bits agree on at least two whole blocks, so each fingerprint is keyed b
 its six pairs of blocks and pairs are sought among equal keys only.  Equal
 fingerprints are folded first.
 
-A key shared by more than ``HOT`` distinct fingerprints is not joined with itself.
-Its fingerprints are linked through stars instead: each one names itself and its
-64 one-bit neighbours, and two fingerprints are within two bits exactly if they
-name a common value.  A value is named by at most 65 fingerprints, so the work
-stays in proportion to the rows and no link is lost.
+A key shared by more than ``HOT`` distinct fingerprints is split by the same rule: the
+bits that it leaves free are cut into four smaller blocks, of which a close pair
+shares two as well.  Three such steps fix 56 of 64 bits, so no key that is joined
+with itself holds more than 256 fingerprints, and no link is lost.
 """
 
 from __future__ import annotations
@@ -24,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isallobar.llm.bpe import batch_texts
-from isallobar.llm.common import settle
+from isallobar.llm.common import as_row, settle
 from isallobar.llm.graph import components
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
-BLOCKS, BLOCK_BITS = 4, 16
-#: Distinct fingerprints up to which the members of a key are paired directly.
+BLOCKS, LEVELS = 4, 3
+#: Distinct fingerprints up to which the members of a key are paired without a further split.
 HOT = 64
 
 
@@ -42,9 +41,8 @@ def shingle_hashes(text: str, words: int) -> list[int]:
     return [hashed(join(x), SEED) for x in zip(*(found[k:] for k in range(words)), strict=False)]
 
 
-def fingerprint(text: str, words: int = SHINGLE) -> int:
-    """SimHash of one text: a bit is set if it is set in over half of the shingle hashes."""
-    hashes = shingle_hashes(text, words)
+def fingerprint_of(hashes: list[int]) -> int:
+    """SimHash of shingle hashes: a bit is set if it is set in over half of them."""
     total = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = np.array(hashes[at : at + (1 << 16)], "<u8")
@@ -53,6 +51,11 @@ def fingerprint(text: str, words: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str, words: int = SHINGLE) -> int:
+    """SimHash of one whole text."""
+    return fingerprint_of(shingle_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     """``doc_id`` and signed 64-bit ``fp`` of every whole text (null: empty)."""
 
@@ -65,31 +68,42 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, fp bigint")
 
 
-def block_keys(nodes: DataFrame) -> DataFrame:
-    """A row (``kid``, ``key``, ``fp``) for each pair of blocks of each fingerprint."""
-    pairs = [sum(((1 << BLOCK_BITS) - 1) << (BLOCK_BITS * b) for b in two) for two in itertools.combinations(range(BLOCKS), BLOCKS - DISTANCE)]
-    signed = [p - (1 << 64) if p >> 63 else p for p in pairs]
-    keys = F.array(*(F.struct(F.lit(k).alias("kid"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(signed)))
-    return nodes.select("fp", F.inline(keys)).select("kid", "key", "fp")
+def split_masks(fixed: int) -> list[int]:
+    """Masks that fix two of four equal blocks of the bits that ``fixed`` leaves free, beside its own."""
+    free = [b for b in range(64) if not fixed >> b & 1]
+    width = len(free) // BLOCKS
+    blocks = [sum(1 << b for b in free[k * width : (k + 1) * width]) for k in range(BLOCKS)]
+    return [fixed | sum(chosen) for chosen in itertools.combinations(blocks, BLOCKS - DISTANCE)]
+
+
+def _keyed(rows: DataFrame, masks: list[list[int]]) -> DataFrame:
+    """Rows (``kid``, ``key``, ``fp``) of the masks that follow each row's own ``kid``."""
+    signed = lambda m: F.lit(m - (1 << 64) if m >> 63 else m).cast("long")
+    table = F.array(*(F.array(*map(signed, own)) for own in masks))
+    each = rows.select("fp", "kid", F.posexplode(F.get(table, F.col("kid"))).alias("turn", "mask"))
+    return each.select((F.col("kid") * len(masks[0]) + F.col("turn")).alias("kid"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 
 def links(nodes: DataFrame, hot: int = HOT) -> DataFrame:
-    """Edges (``a``, ``b``) that connect exactly what links within two bits connect.
+    """Edges (``a``, ``b``) for all pairs of the distinct fingerprints ``fp`` within two bits.
 
-    ``nodes`` has distinct fingerprints ``fp``.  Cold keys give every link; hot keys
-    give for each star value an edge from its least member to the others.
+    A pair that shares several keys comes several times.
     """
-    keyed = block_keys(nodes)
-    crowded = keyed.groupBy("kid", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("kid", "key")
-    cold = keyed.join(crowded, ["kid", "key"], "left_anti")
-    left, right = cold.withColumnRenamed("fp", "a"), cold.withColumnRenamed("fp", "b")
-    direct = left.join(right, ["kid", "key"]).where("a < b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE).select("a", "b")
-    flips = [0, *(1 << k for k in range(63)), -(1 << 63)]
-    members = keyed.join(crowded, ["kid", "key"], "left_semi").select("fp").distinct()
-    named = members.select("fp", F.explode(F.array(*(F.col("fp").bitwiseXOR(F.lit(x)) for x in flips))).alias("star"))
-    stars = named.groupBy("star").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    starred = stars.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a <> b")
-    return direct.unionByName(starred)
+    found, rows, masks = None, nodes.select("fp", F.lit(0).alias("kid")), [0]
+    for level in range(LEVELS):
+        split = [split_masks(m) for m in masks]
+        masks = [m for own in split for m in own]
+        keyed = _keyed(rows, split)
+        if level + 1 < LEVELS:
+            crowded = keyed.groupBy("kid", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("kid", "key")
+            rows = settle(keyed.join(crowded, ["kid", "key"], "left_semi").select("fp", "kid"), "crowded")
+            keyed = keyed.join(crowded, ["kid", "key"], "left_anti")
+        left, right = keyed.withColumnRenamed("fp", "a"), keyed.withColumnRenamed("fp", "b")
+        close = left.join(right, ["kid", "key"]).where("a < b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE).select("a", "b")
+        found = close if found is None else found.unionByName(close)
+        if level + 1 < LEVELS and rows.isEmpty():
+            break
+    return found
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
@@ -112,14 +126,22 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """Keep of each component the row with the smallest doc_id, all columns unchanged.
+def keep_first(rows: DataFrame) -> DataFrame:
+    """One ``row`` of each ``component``; rows have doc_id and ``node`` (shared by equal texts) beside.
 
-    Rows are chosen by doc_id: of rows that repeat it one is kept, whatever its text, and
-    components that have only null ids are dropped.  ``shingles.drop_near_duplicates``
-    chooses by row.
+    It is a row with the smallest doc_id (null only if the component has no other) and, of
+    those, the least ``node``.  Rows are told apart by doc_id and node together, so a
+    doc_id that repeats with unrelated texts is kept once for each of their components.
     """
-    found = near_duplicates(docs, words)
-    keep = found.where("component_id = doc_id").select("doc_id").distinct()
-    first = docs.where("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi")
-    return first.dropDuplicates(["doc_id"])
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first"))
+    keep = settle(first.select("first.doc_id", "first.node").toDF("doc_id_", "node_"), "kept")
+    same = (F.col("node") == F.col("node_")) & F.col("doc_id").eqNullSafe(F.col("doc_id_"))
+    return rows.join(keep, same, "left_semi").dropDuplicates(["node"]).select("row.*")
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """Keep one row of each component of linked fingerprints, all columns unchanged (see :func:`keep_first`)."""
+    node = F.xxhash64(F.coalesce("text", F.lit(""))).alias("node")
+    found = near_duplicates(docs.select(node.alias("doc_id"), "text"), words)
+    classes = settle(found.select(F.col("doc_id").alias("node"), F.col("component_id").alias("component")).distinct(), "nodes")
+    return keep_first(docs.select("doc_id", node, as_row(docs)).join(classes, "node"))

@@ -93,7 +93,15 @@ def test_near_duplicates_against_all_pairs(spark):
     got = simhash.near_duplicates(docs)
     assert sorted((str(r.doc_id), r.fp % (1 << 64), r.component_id) for r in got.collect()) == wanted
     kept = simhash.drop_near_duplicates(docs)
-    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
+    first = {}
+    for i, c in parts.items():
+        first[c] = min(first.get(c, i), i, key=lambda j: (rows[j].doc_id is None, rows[j].doc_id, j))
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(((rows[i].doc_id, rows[i].text) for i in first.values()), key=str)
+    # Rows are chosen, not ids: a text of its own stays although its id repeats with a copy, and so does a lone null id.
+    own, copy = prose(1, 80), " ".join(f"c{k}" for k in range(80))
+    some = spark.createDataFrame([(5, copy, 1), (5, own, 2), (3, copy, 3), (None, "alone here", 4), (None, "alone here", 5)], "doc_id long, text string, node int")
+    assert sorted(((r.doc_id, r.text) for r in simhash.drop_near_duplicates(some).collect()), key=str) == sorted([(3, copy), (5, own), (None, "alone here")], key=str)
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
