@@ -1,13 +1,15 @@
 """Personal data: rule spans, and candidate spans chosen by gradient boosted trees.
 
 Everything on the main path is DataFrame functions within a row.  Rules find base
-spans.  High-recall generators propose further, overlapping candidates; each has a
-small vector of format and context features from a finite space.  The counts of
-each feature vector, with and without a base span inside, come to the driver (at
-most as many rows as there are vectors) where boosted trees are fitted to them.
-A threshold is calibrated on the counts of documents that were not fitted, and
-candidates whose score reaches it and that touch no base span are added; of those
-of a kind that overlap, the first.
+spans.  High-recall generators propose further, overlapping candidates: what holds an at
+sign, addresses that are spelled out, number runs and their parts.  Each has a small
+vector of format and context features from a finite space, and a weak label: whether a
+base span touches it, or whether its plain form (marks for at and dot, and separators,
+rewritten) satisfies a rule.  The counts of each feature vector and label come to the
+driver (at most twice as many rows as there are vectors), where boosted trees are fitted
+to those of four fifths of the texts.  A threshold is calibrated on the counts of the
+other fifth; equal texts are on the same side.  Candidates whose score reaches it and that
+touch no base span are added; of those of a kind that overlap, the first.
 """
 
 from __future__ import annotations
@@ -19,12 +21,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isallobar.llm.common import settle
+from isallobar.llm.common import as_row, named, settle
 
 KINDS = ("email", "ip", "card", "phone")
 
-#: Trees, their depth, the learning rate, and the precision that the threshold must reach.
-TREES, DEPTH, RATE, PRECISION = 24, 3, 0.3, 0.98
+#: Trees, their depth, the learning rate, and the precision that the threshold must reach on weak labels, which count what the rules miss as wrong.
+TREES, DEPTH, RATE, PRECISION = 24, 3, 0.3, 0.8
 #: Least number of held-out candidates (by count) that a threshold may rest on.
 SUPPORT = 20
 
@@ -40,11 +42,15 @@ RULES = {
 HINTS = {"email": ("has", "@"), "ip": ("like", r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]"), "card": ("like", r"[0-9](?:[\x20-]?[0-9]){15}"), "phone": ("has", "+")}
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
+# Ways to write at and dot.
+AT_MARK, DOT_MARK = r"\x20?[(\[{](?i:at)[)\]}]\x20?|\x20(?i:at)\x20", r"\x20?[(\[{](?i:dot)[)\]}]\x20?|\x20(?i:dot)\x20"
 GENERATORS = {
     "at": r"(?:\G|(?<![^\s@]))[^\s@]++@[^\s@]++",
     "number": r"(?:\G|(?<![0-9]))[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+",
+    "spelled": rf"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++(?:{AT_MARK})[A-Za-z0-9-]++(?:(?:{DOT_MARK}|\.)[A-Za-z0-9-]++)++",
 }
-GENERATOR_HINTS = {"at": ("has", "@"), "number": ("like", r"[0-9](?:[\x20().-]{0,2}[0-9]){6}")}
+FORMS = {"at": 0, "number": 1, "spelled": 2}
+GENERATOR_HINTS = {"spelled": ("like", rf"[A-Za-z0-9](?:{AT_MARK})[A-Za-z0-9]"), "at": ("has", "@"), "number": ("like", r"[0-9](?:[\x20().-]{0,2}[0-9]){6}")}
 CUES = r"(?i)(?:mail|contact|write|phone|tel|call|mobile|card|visa|pay|account|host|server|addr|\bip\b)"
 #: Characters of context before and after a candidate.
 CONTEXT = 24
@@ -110,26 +116,42 @@ def _valid(kind: str, x: Column) -> Column:
 
 
 # Feature vectors: name and number of values.
-FEATURES = (("number", 2), ("digits", 7), ("bracket", 2), ("gaps", 2), ("dots", 3), ("luhn", 2), ("quad", 2), ("glued", 2), ("cue", 2), ("domain", 3))
+FEATURES = (("form", 3), ("digits", 7), ("bracket", 2), ("gaps", 2), ("dots", 3), ("luhn", 2), ("quad", 2), ("glued", 2), ("cue", 2), ("domain", 3))
 
 
-def _pattern(number: bool, x: Column) -> Column:
+def _plain(generator: str, x: Column) -> Column:
+    """Whether the plain form of a candidate satisfies a rule that the candidate as written may miss."""
+    text = x["text"]
+    if generator == "spelled":
+        marked = F.rlike(text, F.lit(rf"[(\[{{](?i:at)[)\]}}]|{DOT_MARK}"))
+        return marked & F.rlike(F.regexp_replace(F.regexp_replace(text, AT_MARK, "@"), DOT_MARK, "."), F.lit(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"))
+    if generator == "number":
+        digits = _digits(text)
+        return F.when(F.length(digits).between(16, 19), luhn(digits)).otherwise(False)
+    return F.lit(False)
+
+
+def _pattern(generator: str, x: Column) -> Column:
     """Feature vector of a candidate as one number."""
+    number = generator == "number"
     text, digits = x["text"], _digits(x["text"])
     n = F.length(digits)
     size = F.when(n < 7, 0).when(n < 9, 1).when(n < 12, 2).when(n < 16, 3).when(n < 20, 4).when(n < 40, 5).otherwise(6)
     dots = F.length(text) - F.length(F.replace(text, F.lit("."), F.lit("")))
+    if generator == "spelled":  # how at and dot are written
+        kept = F.rlike(text, F.lit(r"[(\[{](?i:at)[)\]}]")).cast("int"), F.rlike(text, F.lit(DOT_MARK)).cast("int")
+    else:
+        kept = F.rlike(text, F.lit(r"[()]")).cast("int"), F.rlike(text, F.lit(r"[\x20-]")).cast("int")
     flags = [
-        F.lit(int(number)),
-        size,
-        F.rlike(text, F.lit(r"[()]")).cast("int"),
-        F.rlike(text, F.lit(r"[\x20-]")).cast("int"),
+        F.lit(FORMS[generator]),
+        size if number else F.lit(0),
+        *kept,
         F.when(dots == 0, 0).when(dots == 3, 2).otherwise(1),
         F.when(n.between(12, 19), luhn(digits)).otherwise(False).cast("int") if number else F.lit(0),
         F.rlike(text, F.lit(rf"^{BYTE}(?:\.{BYTE}){{3}}$")).cast("int") if number else F.lit(0),
         (F.rlike(x["before"], F.lit(r"[\p{L}\p{N}_]$")) | F.rlike(x["after"], F.lit(r"^[\p{L}\p{N}_]"))).cast("int"),
         F.rlike(x["before"], F.lit(CUES)).cast("int"),
-        F.when(F.rlike(text, F.lit(r"@.*\.[A-Za-z]{2,}[.,;:!?)]*$")), 2).when(F.rlike(text, F.lit(r"@[^@]*\.")), 1).otherwise(0) if not number else F.lit(0),
+        F.lit(0) if number else F.when(F.rlike(text, F.lit(rf"(?:@.*\.|{AT_MARK}).*?[A-Za-z]{{2,}}[.,;:!?)]*$")), 2).when(F.rlike(text, F.lit(r"@[^@]*\.")), 1).otherwise(0),
     ]
     key: Column = F.lit(0)
     for (_, values), flag in zip(FEATURES, flags, strict=True):
@@ -194,8 +216,8 @@ def _touches(x: Column, spans: Column) -> Column:
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add ``pii_base`` (spans by kind) and ``pii_candidates`` to every row.
 
-    A candidate is (kind, start, end, pattern, hit), where ``hit`` says that a base span
-    touches it.  Number runs of more digits than a phone number has are candidates whole,
+    A candidate is (kind, start, end, pattern, hit, good), where ``hit`` says that a base span
+    touches it, and ``good`` is its weak label.  Number runs of more digits than a phone number has are candidates whole,
     and so are their parts between separators that touch no base span.  Null texts are empty.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -209,12 +231,12 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def proposed(generator: str) -> Column:
         number = generator == "number"
-        shape = "array<struct<kind:string,start:int,end:int,pattern:int,part:boolean>>"
+        shape = "array<struct<kind:string,start:int,end:int,pattern:int,plain:boolean,part:boolean>>"
 
         def one(x: Column, part: bool = False) -> Column:
             n = F.length(_digits(x["text"]))
             kind = F.when(F.rlike(x["text"], F.lit(r"^[0-9]+(?:\.[0-9]+){3}$")), "ip").when(n >= 13, "card").otherwise("phone") if number else F.lit("email")
-            return F.struct(kind.alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _pattern(number, x).alias("pattern"), F.lit(part).alias("part"))
+            return F.struct(kind.alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _pattern(generator, x).alias("pattern"), _plain(generator, x).alias("plain"), F.lit(part).alias("part"))
 
         def every(runs: Column) -> Column:
             whole = F.transform(runs, lambda x: one(x))
@@ -222,11 +244,15 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
         return F.coalesce(_let(_placed(F.col(f"pii_{generator}")), every), F.array().cast(shape))
 
-    second = first.select(*(docs[c] for c in docs.columns), F.struct(*(base(k) for k in KINDS)).alias("pii_base"), F.concat(*(proposed(g) for g in GENERATORS)).alias("pii_found"))
+    second = first.select(*(named(docs, c) for c in docs.columns), F.struct(*(base(k) for k in KINDS)).alias("pii_base"), F.concat(*(proposed(g) for g in GENERATORS)).alias("pii_found"))
     every = F.concat(*(F.col("pii_base")[k] for k in KINDS))
     free = F.filter("pii_found", lambda x: ~x["part"] | ~_touches(x, every))
-    marked = F.transform(free, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["pattern"].alias("pattern"), _touches(x, every).alias("hit")))
-    return second.select(*(second[c] for c in docs.columns), "pii_base", marked.alias("pii_candidates"))
+
+    def labelled(x: Column) -> Column:
+        return _let(_touches(x, every), lambda hit: F.struct(*(x[k].alias(k) for k in ("kind", "start", "end", "pattern")), hit.alias("hit"), (hit | x["plain"]).alias("good")))
+
+    apart = F.pmod(F.xxhash64(whole), F.lit(5)) == 0
+    return second.select(*(named(second, c) for c in docs.columns), "pii_base", F.transform(free, labelled).alias("pii_candidates"), apart.alias("pii_apart"))
 
 
 @dataclass
@@ -284,7 +310,7 @@ class Chooser:
 
 
 def fit_chooser(counts: list[tuple[int, bool, bool, int]]) -> Chooser:
-    """Fit on (pattern, hit, held out, count) rows; nothing to learn from accepts nothing."""
+    """Fit on (pattern, weak label, held out, count) rows; nothing to learn from accepts nothing."""
     learn: dict[int, list[float]] = {}
     for pattern, hit, out, n in counts:
         if not out:
@@ -305,7 +331,7 @@ def fit_chooser(counts: list[tuple[int, bool, bool, int]]) -> Chooser:
         trees.append(_grow(rows, DEPTH))
         margin = [m + trees[-1].predict(x) for (x, _, _), m in zip(data, margin, strict=True)]
     model = Chooser(bias, tuple(trees), 1.1, ())
-    # The least threshold from which on held-out candidates are base hits often enough.
+    # The least threshold from which on held-out candidates have a good label often enough.
     scored = sorted(((model.score(features_of(p)), hit, n) for p, hit, out, n in counts if out), reverse=True)
     threshold, hits, seen = 1.1, 0, 0
     for k, (s, hit, n) in enumerate(scored):
@@ -318,10 +344,9 @@ def fit_chooser(counts: list[tuple[int, bool, bool, int]]) -> Chooser:
 
 def learned(marked: DataFrame) -> Chooser:
     """Fit the chooser to the candidates of all rows; one count for each feature vector is collected."""
-    one = marked.select(F.explode("pii_candidates").alias("c"))
-    out = F.pmod(F.xxhash64(F.col("c.start"), F.col("c.end"), F.col("c.pattern")), F.lit(5)) == 0
-    counts = one.groupBy(F.col("c.pattern").alias("p"), F.col("c.hit").alias("hit"), out.alias("out")).agg(F.count("*").alias("n")).collect()
-    return fit_chooser([(r.p, r.hit, r.out, r.n) for r in counts])
+    one = marked.select(F.explode("pii_candidates").alias("c"), F.col("pii_apart").alias("out"))
+    counts = one.groupBy(F.col("c.pattern").alias("p"), F.col("c.good").alias("good"), "out").agg(F.count("*").alias("n")).collect()
+    return fit_chooser([(r.p, r.good, r.out, r.n) for r in counts])
 
 
 def _apart(found: Column) -> Column:
@@ -333,7 +358,7 @@ def _apart(found: Column) -> Column:
 
 def all_spans(chooser: Chooser) -> dict[str, Column]:
     """Base and added spans of each kind, by start, for rows of :func:`with_spans`."""
-    shape = "array<struct<kind:string,start:int,end:int,pattern:int,hit:boolean>>"
+    shape = "array<struct<kind:string,start:int,end:int,pattern:int,hit:boolean,good:boolean>>"
     added = F.filter("pii_candidates", lambda x: ~x["hit"] & x["pattern"].isin(*chooser.accepted)) if chooser.accepted else F.array().cast(shape)
 
     def of(kind: str) -> Column:
@@ -371,7 +396,7 @@ def redact(docs: DataFrame) -> DataFrame:
     null; texts without spans stay as they are.
     """
     chooser = learned(with_spans(docs.select("text")).drop("text"))
-    marked = with_spans(docs.select(F.struct(*docs.columns).alias("row"), "text"))
+    marked = with_spans(docs.select(as_row(docs), "text"))
     spans = all_spans(chooser)
 
     def of(kind: str) -> Column:
@@ -389,4 +414,4 @@ def redact(docs: DataFrame) -> DataFrame:
     ready = marked.select("*", every.alias("pii_all"))
     parts = F.aggregate("pii_all", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
     text = F.when(F.col("text").isNotNull() & (F.size("pii_all") > 0), parts).otherwise(F.col("text"))
-    return ready.select(*(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
+    return ready.select(*(text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))

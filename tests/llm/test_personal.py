@@ -119,3 +119,38 @@ def test_parts_are_all_runs_of_groups(spark):
         base = [(x.start, x.end) for k in pii.KINDS for x in row.pii_base[k]]
         wanted = {w for w in wanted if w == run.span() or not any(a < w[1] and w[0] < b for a, b in base)}
         assert {(c.start, c.end) for c in row.pii_candidates} == wanted, text
+
+
+def test_other_ways_to_write_are_found_without_touching_clean_texts(spark):
+    import random
+
+    rnd = random.Random(4)
+    name = lambda: "".join(rnd.choices("abcdefgh", k=6))
+    number = lambda k: "".join(rnd.choices("0123456789", k=k))
+
+    def card():
+        head = "4" + number(14)
+        return next(head + d for d in "0123456789" if luhn(head + d))
+
+    grouped = lambda c, s: s.join(c[k : k + 4] for k in range(0, 16, 4))
+    plain = [f"{name()} writes to {name()}@{name()}.org and calls +1 ({number(3)}) 555-{number(4)} or pays {card()} {name()}" for _ in range(300)]
+    plain += [f"{name()} at {name()} looked at {name()} in {number(4)}, {number(6)} of {number(14)} {name()}" for _ in range(300)]
+    spelled = [(f"{name()} is {(w := name() + rnd.choice([' at ', ' (at) ', '[at]']) + name() + rnd.choice([' dot ', ' (dot) ', '[dot]']) + 'com')} or so", "email", w) for _ in range(60)]
+    dotted = [(f"pay {(w := grouped(card(), rnd.choice(['.', '  '])))} now", "card", w) for _ in range(60)]
+    phones = [(f"call {(w := f'({number(3)}) 555-{number(4)}')} now", "phone", w) for _ in range(60)]
+    hidden = [*spelled, *dotted, *phones]
+    docs = documents(spark, [*plain, *(t for t, _, _ in hidden)]).where("doc_id IS NOT NULL AND length = 1.0")
+    rows = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    added = found = 0
+    for k, (text, kind, what) in enumerate(hidden, len(plain)):
+        spans = {s for s in rows[k].spans.split(",") if s}
+        base_spans = {f"{a}:{b}:{c}" for a, b, c in base(text)}
+        added += len(spans - base_spans)
+        found += f"{kind}:{text.index(what)}:{text.index(what) + len(what)}" in spans
+    wrong = sum(len({s for s in rows[k].spans.split(",") if s} - {f"{a}:{b}:{c}" for a, b, c in base(t)}) for k, t in enumerate(plain))
+    assert found >= 0.9 * len(hidden) and added <= found + 5 and wrong == 0
+
+
+def test_columns_with_dots_stay(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.c", "x", 2)], "doc_id long, text string, `odd.name` string, pii_base int")
+    assert [tuple(r) for r in pii.redact(docs).collect()] == [(1, "mail [EMAIL]", "x", 2)] and pii.redact(docs).columns == docs.columns
