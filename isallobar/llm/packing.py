@@ -7,10 +7,11 @@ their multiplicities.  Pieces then look up their place by their rank among the
 pieces of the same length; the ranks are made by a distributed prefix sum.
 
 Planning is bin completion: take the largest length left, enumerate undominated
-fillings of the room beside it, prune those whose waste cannot beat the
-incumbent, and branch over what remains.  Best-fit decreasing gives the first
-incumbent.  While many pieces remain, the best filling is applied as often as
-its lengths allow; the last ``tail`` pieces are searched with backtracking.
+fillings of the room beside it, prune those whose waste cannot beat the incumbent, and
+branch over what remains, each filling as often as the counts allow and once.
+Best-fit decreasing gives the first incumbent; where it meets the lower bound no branch
+can beat it, and the search is over at its root.  Bounds on the search are parameters:
+beyond them the best plan found so far is returned, never one that is worse.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from isallobar.llm.bpe import MergeTable, batch_texts
 from isallobar.llm.common import settle
 
 CAPACITY = 2048
-#: Pieces left when the search starts to backtrack, and bounds on its work.
-TAIL, FILLING_NODES, TAIL_NODES, CHOICES = 160, 1500, 4000, 3
+#: Nodes of the search beyond two for each length, and nodes visited for the fillings of one node.
+NODES, FILLING_NODES = 3000, 400
 
 PIECE_SCHEMA = "piece int, start bigint, length bigint, ids_crc32 bigint, part int, row bigint"
 
@@ -71,109 +72,91 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[Filling]:
     return [Filling(x, n) for held in rooms.values() for x, n in held.items()]
 
 
-def fillings(room: int, counts: dict[int, int], lengths: list[int], limit: int, most: int) -> list[tuple[int, tuple[int, ...]]]:
-    """Undominated fillings of ``room`` as (waste, lengths), least waste first.
+def fillings(room: int, counts: dict[int, int], lengths: list[int], limit: int = FILLING_NODES) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
+    """Undominated fillings of ``room`` as (waste, ((length, times), ...)), least waste first.
 
-    ``lengths`` are those of ``counts`` in rising order.  At most ``limit`` nodes are
-    visited; fillings with the larger pieces come first, and the search ends once
-    ``most`` fillings without waste are known.
+    ``lengths`` are those of ``counts`` in rising order.  A filling is dominated if one more
+    piece fits, or if one of its pieces may give way to a larger one that is left.  Fillings
+    with the larger pieces come first; after ``limit`` nodes the enumeration ends, but not
+    before the first filling.
     """
-    found: list[tuple[int, tuple[int, ...]]] = []
-    nodes = perfect = 0
-
-    def dominated(chosen: list[int], waste: int) -> bool:
-        for x in set(chosen):
-            at = bisect_right(lengths, x)
-            if at < len(lengths) and lengths[at] <= x + waste and counts[lengths[at]] > chosen.count(lengths[at]):
-                return True
-        return False
-
-    def visit(left: int, top: int, chosen: list[int]) -> None:
-        nonlocal nodes, perfect
-        nodes += 1
-        if left and left <= top and counts.get(left, 0) > chosen.count(left):
-            found.append((0, (*chosen, left)))
-            perfect += 1
-        elif not left:
-            found.append((0, tuple(chosen)))
-            perfect += 1
-            return
-        at = bisect_right(lengths, min(left, top))
-        fits = False
-        while at and perfect < most and nodes < limit:
-            at -= 1
-            x = lengths[at]
-            if counts[x] <= chosen.count(x):
-                continue
-            fits = True
-            if x == left:
-                continue
-            chosen.append(x)
-            visit(left - x, x, chosen)
-            chosen.pop()
-            if len(found) > 64 and left - x > min(w for w, _ in found) + x:
-                break  # smaller pieces alone leave more waste or many nodes
-        if not fits and not dominated(chosen, left):
-            found.append((left, tuple(chosen)))
-
-    visit(room, room, [])
-    if not found:  # the node limit came first: fill greedily
-        left, chosen, at = room, [], len(lengths)
-        while at:
-            at -= 1
-            n = min(counts[lengths[at]], left // lengths[at])
-            chosen += [lengths[at]] * n
-            left -= n * lengths[at]
-        found.append((left, tuple(chosen)))
-    return sorted(set(found), key=lambda x: (x[0], tuple(-y for y in x[1])))
-
-
-def _take(counts: dict[int, int], lengths: list[int], inside: tuple[int, ...], times: int) -> None:
-    for x in inside:
-        counts[x] -= times
-        if not counts[x]:
-            del counts[x]
-            del lengths[bisect_right(lengths, x) - 1]
+    found: list[tuple[int, tuple[tuple[int, int], ...]]] = []
 
+    def undominated(waste: int, chosen: tuple[tuple[int, int], ...]) -> bool:
+        used = dict(chosen)
 
-def _sequences(plan: list[Filling]) -> int:
-    return sum(f.times for f in plan)
+        def spare(low: int, high: int) -> bool:
+            return any(counts[y] > used.get(y, 0) for y in lengths[bisect_right(lengths, low) : bisect_right(lengths, high)])
 
+        return not waste or not (spare(0, waste) or any(spare(x, x + waste) for x in used))
 
-def _search_tail(counts: dict[int, int], capacity: int) -> list[Filling]:
-    """Branch and bound over few pieces; the best plan within the node bound."""
-    best = best_fit_decreasing(counts, capacity)
-    total = sum(x * n for x, n in counts.items())
-    least = -(-total // capacity)
+    stack: list[tuple[int, int, tuple[tuple[int, int], ...], int]] = [(room, len(lengths), (), -1)]
     nodes = 0
-
-    def branch(counts: dict[int, int], chosen: list[tuple[int, ...]], waste: int) -> None:
-        nonlocal best, nodes
-        if not counts:
-            if len(chosen) < _sequences(best):
-                best = [Filling(x, 1) for x in chosen]
-            return
+    while stack and (nodes < limit or not found):
         nodes += 1
-        lengths = sorted(counts)
-        top = lengths[-1]
-        rest = counts | {top: counts[top] - 1}
-        if not rest[top]:
-            del rest[top]
-        for lost, inside in fillings(capacity - top, rest, sorted(rest), FILLING_NODES // 10, CHOICES)[:CHOICES]:
-            if _sequences(best) == least or nodes > TAIL_NODES:
-                return
-            if waste + lost > (_sequences(best) - 1) * capacity - total:
-                break  # sorted by waste: no later filling can beat the incumbent
-            after = dict(rest)
-            _take(after, sorted(after), inside, 1)
-            branch(after, [*chosen, (top, *inside)], waste + lost)
-
-    if _sequences(best) > least:
-        branch(dict(counts), [], 0)
-    return best
+        left, top, chosen, times = stack.pop()
+        if times < 0:
+            top = bisect_right(lengths, left, 0, top)
+            if not top:
+                if undominated(left, chosen):
+                    found.append((left, chosen))
+                continue
+            times = min(counts[lengths[top - 1]], left // lengths[top - 1])
+        x = lengths[top - 1]
+        if times:
+            stack.append((left, top, chosen, times - 1))
+        stack.append((left - times * x, top - 1, (*chosen, (x, times)) if times else chosen, -1))
+    return sorted(found, key=lambda f: (f[0], tuple((-x, -n) for x, n in f[1])))
+
+
+def _sequences(plan: list[Filling]) -> int:
+    return sum(f.times for f in plan)
 
 
-def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[Filling]:
+def least_sequences(counts: dict[int, int], capacity: int) -> int:
+    """Lower bound: all pieces end to end, or the large ones apart and what cannot stand beside them."""
+    pieces = sorted(counts.items())
+    best = -(-sum(x * n for x, n in pieces) // capacity)
+    alone = sum(n for x, n in pieces if 2 * x > capacity)
+    for low in {x for x, _ in pieces if 2 * x <= capacity}:
+        sole = sum(n for x, n in pieces if x > capacity - low)
+        room = sum((capacity - x) * n for x, n in pieces if 2 * x > capacity and x <= capacity - low)
+        small = sum(x * n for x, n in pieces if low <= x and 2 * x <= capacity)
+        best = max(best, alone + max(0, -(-(small - room) // capacity)), sole)
+    return max(best, alone)
+
+
+@dataclass
+class Node:
+    """What is left to pack, the waste and the sequences so far, and the fillings not yet tried."""
+
+    counts: dict[int, int]
+    waste: int
+    used: int
+    options: Iterator[tuple[int, tuple[tuple[int, int], ...], int]]
+
+
+def _options(counts: dict[int, int], capacity: int) -> Iterator[tuple[int, tuple[tuple[int, int], ...], int]]:
+    """(waste of one, lengths with their times, sequences) to try around the largest length left."""
+    lengths = sorted(counts)
+    top = lengths[-1]
+    counts = counts | {top: counts[top] - 1}
+    if not counts[top]:
+        del counts[top]
+        lengths.pop()
+    once = []
+    for lost, chosen in fillings(capacity - top, counts, lengths):
+        inside = dict(chosen)
+        inside[top] = inside.get(top, 0) + 1
+        whole = tuple(sorted(inside.items(), reverse=True))
+        most = min((counts.get(x, 0) + (x == top)) // n for x, n in whole)
+        if most > 1:
+            once.append((lost, whole, 1))
+        yield lost, whole, most
+    yield from once
+
+
+def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Filling]:
     """Fillings that hold every piece of the histogram once.
 
     An empty histogram gives an empty plan; lengths must lie in 1..capacity.
@@ -181,26 +164,40 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[Filli
     if any(not 1 <= x <= capacity for x in counts):
         raise ValueError(f"piece lengths must lie in 1..{capacity}")
     counts = {x: n for x, n in counts.items() if n}
-    incumbent = best_fit_decreasing(counts, capacity)
-    least = -(-sum(x * n for x, n in counts.items()) // capacity)
-    if _sequences(incumbent) == least:
-        return incumbent
-    left, lengths, plan = dict(counts), sorted(counts), []
-    pieces = sum(counts.values())
-    while pieces > TAIL:
-        top = lengths[-1]
-        _take(left, lengths, (top,), 1)
-        _, inside = fillings(capacity - top, left, lengths, FILLING_NODES, 1)[0]
-        need = {x: inside.count(x) for x in set(inside)} | {top: inside.count(top) + 1}
-        left[top] = left.get(top, 0) + 1
-        if left[top] == 1:
-            lengths.insert(bisect_right(lengths, top), top)
-        times = min(left[x] // n for x, n in need.items())
-        _take(left, lengths, (top, *inside), times)
-        plan.append(Filling((top, *inside), times))
-        pieces -= times * (1 + len(inside))
-    plan += _search_tail(left, capacity)
-    return min(plan, incumbent, key=_sequences)
+    best = best_fit_decreasing(counts, capacity)
+    floor = least_sequences(counts, capacity)
+    total = sum(x * n for x, n in counts.items())
+    if _sequences(best) <= floor:
+        return best
+    path: list[Filling] = []
+    stack = [Node(counts, 0, 0, _options(counts, capacity))]
+    left = nodes + 2 * len(counts)
+    while stack and left and _sequences(best) > floor:
+        node = stack[-1]
+        option = next(node.options, None)
+        if option is None:
+            stack.pop()
+            if path:
+                path.pop()
+            continue
+        lost, whole, times = option
+        waste, used = node.waste + lost * times, node.used + times
+        # Any plan that beats the incumbent wastes at most this much in all.
+        if waste > (_sequences(best) - 1) * capacity - total:
+            continue
+        left -= 1
+        rest = dict(node.counts)
+        for x, n in whole:
+            rest[x] -= n * times
+            if not rest[x]:
+                del rest[x]
+        path.append(Filling(tuple(x for x, n in whole for _ in range(n)), times))
+        if rest:
+            stack.append(Node(rest, waste, used, _options(rest, capacity)))
+            continue
+        best = list(path)  # the waste bound holds, so it is better
+        path.pop()
+    return best
 
 
 def place_table(plan: list[Filling]) -> np.ndarray:

@@ -74,6 +74,8 @@ def test_encoding_query(spark, library):
     whole = bpe.encode_documents(docs, vocabulary_path())
     assert {r.doc_id: r.decoded for r in whole.collect()} == texts
     assert bpe.encoding_digests(empty(spark), vocabulary_path()).count() == 0
+    named = spark.createDataFrame([("a-1", "some text"), (None, None)], "doc_id string, text string")
+    assert {r.doc_id: r.n_tokens > 0 for r in bpe.encoding_digests(named, vocabulary_path()).collect()} == {"a-1": True, None: False}
 
 
 @settings(max_examples=150, deadline=None)
@@ -128,6 +130,43 @@ def test_small_packings_are_optimal():
         assert sum(f.times for f in plan) == least_bins(lengths, capacity)
 
 
+def test_search_beats_best_fit_and_holds_out_on_long_runs():
+    saved = 0
+    for seed in range(8):
+        rnd = random.Random(seed)
+        lengths = []
+        for _ in range(40):  # forty sequences that three pieces fill without waste
+            a = rnd.randint(260, 760)
+            b = rnd.randint(260, 1000 - a - 200) if 1000 - a - 200 > 260 else 220
+            lengths += [a, b, 1000 - a - b]
+        counts = dict(Counter(lengths))
+        first, found = (sum(f.times for f in p) for p in (packing.best_fit_decreasing(counts, 1000), packing.plan_packing(counts, 1000)))
+        assert 40 <= packing.least_sequences(counts, 1000) <= found <= first
+        saved += first - found
+    assert saved >= 2
+    # Runs of tiny pieces are as long as a sequence; the histogram stays small.
+    plan = packing.plan_packing({2047: 5000, 2: 5000})
+    assert sum(f.times for f in plan) == packing.least_sequences({2047: 5000, 2: 5000}, 2048) == 5005
+    plan = packing.plan_packing({1: 10**7, 1025: 3 * 10**6, 700: 5, 2048: 7})
+    assert sum(f.times for f in plan) == 3_000_007
+
+
+def test_fillings_are_those_of_brute_force():
+    rnd = random.Random(2)
+    for _ in range(40):
+        counts = {rnd.randint(1, 20): rnd.randint(1, 2) for _ in range(5)}
+        lengths, room = sorted(counts), rnd.randint(1, 40)
+        every = [c for c in itertools.product(*(range(counts[x] + 1) for x in lengths)) if sum(x * n for x, n in zip(lengths, c, strict=True)) <= room]
+        wanted = set()
+        for c in every:
+            waste = room - sum(x * n for x, n in zip(lengths, c, strict=True))
+            spare = [x for x, n in zip(lengths, c, strict=True) if n < counts[x]]
+            if not any(y <= waste or any(n and x < y <= x + waste for x, n in zip(lengths, c, strict=True)) for y in spare):
+                wanted.add((waste, tuple((x, n) for x, n in zip(lengths[::-1], c[::-1], strict=True) if n)))
+        got = packing.fillings(room, counts, lengths, limit=10**6)
+        assert set(got) == wanted and [f[0] for f in got] == sorted(f[0] for f in got)
+
+
 def test_pieces_and_places(spark, library):
     docs = documents(spark)
     rows = packing.pack_documents(docs, vocabulary_path(), capacity=64).collect()
