@@ -391,4 +391,5 @@ def encoding_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
