@@ -7,14 +7,16 @@ product with a query is estimated without bias, with a known error bound.  Only
 vectors whose lower bound of the distance does not exceed a query's threshold are
 measured exactly.
 
-Vectors and queries are laid into blocks.  Every block of vectors meets every
-block of queries once, so a task holds two blocks whatever the input size, and
-returns for each query its nearest vectors in the block.
+Vectors and queries are laid into blocks of bounded bytes.  Every block of vectors
+meets every block of queries once, so a task holds two blocks whatever the input size,
+and returns for each query its nearest vectors in the block.  Vectors are compared with
+those of their own length; each length is searched on its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,10 @@ from pyspark.sql import functions as F
 
 from isallobar.llm.common import settle
 
-#: Nearest vectors asked for; vectors and queries in a block.
-K, VECTOR_BLOCK, QUERY_BLOCK = 10, 32_768, 1_024
+#: Nearest vectors asked for; bytes of a block of vectors and of queries.
+K, VECTOR_BLOCK, QUERY_BLOCK = 10, 16 << 20, 1 << 19
+#: Vector blocks that share a key.
+TOGETHER = 4
 #: Bound of the sample that gives each query its first threshold.
 SAMPLE = 2_048
 #: Half width of the error bound, in standard deviations of the estimate.
@@ -72,8 +76,19 @@ def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def _blocks(rows: DataFrame, size: int, dimension: int, label: str, model: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
-    """Lay rows (vec_id, embedding) into blocks: ids, float values and, with ``model``, codes."""
+def first_limits(ids: np.ndarray, queries: np.ndarray, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+    """Distance of each query to the ``k``-th nearest other vector of the sample (infinite if it has fewer)."""
+    out = np.full(len(ids), np.inf)
+    for i, (query_id, query) in enumerate(zip(ids, queries, strict=True)):
+        known = distances(sample[sample_ids != query_id], query)
+        if len(known) >= k:
+            out[i] = np.partition(known, k - 1)[k - 1]
+    return out
+
+
+def _blocks(rows: DataFrame, size: int, dimension: int, label: str, finish: Callable[[np.ndarray, np.ndarray], list[np.ndarray]], names: tuple[str, ...]) -> DataFrame:
+    """Lay rows (vec_id, embedding) into blocks of ``size`` rows: ids, float values, and what ``finish`` makes of them."""
+    columns = ("ids", "vectors", *names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -85,10 +100,9 @@ def _blocks(rows: DataFrame, size: int, dimension: int, label: str, model: tuple
         def flush() -> pa.RecordBatch:
             nonlocal made, ids, values
             one, many = np.concatenate(ids), np.concatenate(values)
-            bits, length, agreement = encode(many, *model) if model else (np.empty((len(one), 0), np.uint8), np.empty(0), np.empty(0))
-            row = [[base + made], [one.tobytes()], [many.tobytes()], [bits.tobytes()], [length.tobytes()], [agreement.tobytes()]]
+            parts = [one, many, *finish(one, many)]
             made, ids, values = made + 1, [], []
-            return pa.RecordBatch.from_arrays([pa.array(row[0], pa.int64()), *(pa.array(x, pa.binary()) for x in row[1:])], names=["block", "ids", "vectors", "bits", "lengths", "agreements"])
+            return pa.RecordBatch.from_arrays([pa.array([base + made], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["block", *columns])
 
         held = 0
         for batch in batches:
@@ -103,7 +117,7 @@ def _blocks(rows: DataFrame, size: int, dimension: int, label: str, model: tuple
         if held:
             yield flush()
 
-    shape = "block bigint, ids binary, vectors binary, bits binary, lengths binary, agreements binary"
+    shape = ", ".join(["block bigint", *(f"{c} binary" for c in columns)])
     return settle(rows.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(work, shape), label)
 
 
@@ -111,45 +125,47 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = K) -> DataFrame:
     """The ``k`` nearest other rows of each row whose vec_id is divisible by ``every``.
 
     Returns query_id, rank (from 1), vec_id and score (the Euclidean distance),
-    nearest first, ties to the smaller vec_id.  Null, zero and non-finite vectors,
-    rows without an id and vectors of another length than the longest take no
-    part.  Copies are separate candidates; a repeated vec_id counts as the query's
-    own row.  A table with no usable vector, or with no query, gives no rows.
+    nearest first, ties to the smaller vec_id.  Null, zero and non-finite vectors and
+    rows without an id take no part; vectors have a distance to those of their own
+    length only.  Copies are separate candidates; a repeated vec_id counts as the
+    query's own row.  A table with no usable vector, or with no query, gives no rows.
+    The driver sees the different lengths, and a mean and a bounded sample of each.
     """
     spark = vectors.sparkSession
     whole = F.transform("embedding", lambda x: x.cast("double"))
     sound = F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & F.forall(whole, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(whole, lambda x: x != 0)
     usable = vectors.select("vec_id", whole.alias("embedding")).where(sound)
-    dimension = usable.agg(F.max(F.size("embedding"))).first()[0]
-    shape = "query_id bigint, rank int, vec_id bigint, score double"
-    if not dimension:
-        return spark.createDataFrame([], shape)
-    usable = usable.where(F.size("embedding") == dimension)
+    lengths = sorted(r.n for r in usable.select(F.size("embedding").alias("n")).distinct().collect())
+    found = [_nearest_of(usable.where(F.size("embedding") == n), n, every, k) for n in lengths]
+    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.unionByName, found) if found else empty
+
+
+def _nearest_of(usable: DataFrame, dimension: int, every: int, k: int) -> DataFrame:
     centre = np.array(usable.agg(*(F.avg(F.col("embedding")[i]) for i in range(dimension))).first(), np.float64)
     model = (centre, rotation(dimension))
     picked = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()  # bounded by SAMPLE
     sample_ids = np.array([r.vec_id for r in picked], np.int64)
     sample = np.array([r.embedding for r in picked], np.float64)
 
-    stored = _blocks(usable, VECTOR_BLOCK, dimension, "vectors", model)
-    asked = _blocks(usable.where(F.col("vec_id") % every == 0), QUERY_BLOCK, dimension, "queries", None)
-    # Each query block is dealt to every vector block by an explicit key.
-    names = sorted(r.block for r in stored.select("block").collect())  # one number for each VECTOR_BLOCK rows
-    keys = F.explode(F.array(*(F.lit(n).cast("long") for n in names)))
-    spread = asked.select(F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), keys.alias("block"))
+    rows = [max(1, size // (8 * dimension)) for size in (VECTOR_BLOCK, QUERY_BLOCK)]
+    stored = _blocks(usable, rows[0], dimension, "vectors", lambda ids, values: list(encode(values, *model)), ("bits", "lengths", "agreements"))
+    asked = _blocks(usable.where(F.col("vec_id") % every == 0), rows[1], dimension, "queries", lambda ids, values: [first_limits(ids, values, sample_ids, sample, k)], ("limits",))
+    # Each query block goes to every key, and each vector block to one.
+    keys = max(1, stored.count() // TOGETHER)
+    spread = asked.select(F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), "limits", F.explode(F.sequence(F.lit(0), F.lit(keys - 1))).alias("key"))
+    dealt = stored.withColumn("key", F.pmod(F.xxhash64("block"), F.lit(keys)).cast("int"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                raw = [batch.column(c)[row].as_buffer() for c in range(7)]
-                ids = np.frombuffer(raw[0], np.int64)
-                values = np.frombuffer(raw[1], np.float64).reshape(-1, dimension)
+                raw = [batch.column(c)[row].as_buffer() for c in range(8)]
+                ids, query_ids = np.frombuffer(raw[0], np.int64), np.frombuffer(raw[5], np.int64)
+                values, queries = (np.frombuffer(raw[c], np.float64).reshape(-1, dimension) for c in (1, 6))
                 bits = np.frombuffer(raw[2], np.uint8).reshape(len(ids), -1)
-                lengths, agreements = (np.frombuffer(x, np.float64) for x in raw[3:5])
+                lengths, agreements, limits = (np.frombuffer(raw[c], np.float64) for c in (3, 4, 7))
                 out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-                for query_id, query in zip(np.frombuffer(raw[5], np.int64).tolist(), np.frombuffer(raw[6], np.float64).reshape(-1, dimension), strict=True):
-                    known = np.sort(distances(sample[sample_ids != query_id], query))
-                    limit = known[k - 1] if len(known) >= k else np.inf
+                for query_id, query, limit in zip(query_ids.tolist(), queries, limits.tolist(), strict=True):
                     bound = lower_bounds(bits, lengths, agreements, query, *model)
                     near = np.flatnonzero((bound <= limit**2 * (1 + 1e-9)) & (ids != query_id))
                     if len(near) > 8 * k:  # measure the most promising ones first, they tighten the threshold
@@ -162,8 +178,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = K) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["query_id", "vec_id", "score"])
 
-    pairs = stored.join(spread, "block").select("ids", "vectors", "bits", "lengths", "agreements", "query_ids", "queries")
+    pairs = dealt.join(spread, "key").select("ids", "vectors", "bits", "lengths", "agreements", "query_ids", "queries", "limits")
     found = pairs.mapInArrow(work, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
