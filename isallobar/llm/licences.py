@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright[ \t]*(\(c\)|©|[0-9])|\(c\)[ \t]|©|all rights reserved)[^\n]*"
+COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright[ \t]*(\(c\)|©|[0-9]|[,:<\[{][ \t]*|the[ \t]+[a-z0-9]+[ \t]+(authors|project|developers|contributors|team|foundation)|by[ \t])|\(c\)[ \t]|©|all rights reserved)[^\n]*"
 FOLDED = r"[\x00-\x2f\x3a-\x60\x7b-\x7f\x{a0}“”‘’–—…•©]+"
 # Spellings that the public licence matching guidelines count as equal.
 EQUIVALENT = (
@@ -91,7 +91,65 @@ Unless required by applicable law or agreed to in writing, software distributed
 "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""
 
-#: Known licences; a caller may give another table.
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software
+is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and
+the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works
+of the Software, unless such copies or derivative works are solely in the form of machine-executable object code
+generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE
+COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+
+WTFPL = """DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE
+TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION
+
+0. You just DO WHAT THE FUCK YOU WANT TO."""
+
+POSTGRESQL_GRANT = """Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and
+without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the
+following two paragraphs appear in all copies."""
+
+ALL_PERMISSIVE = """Copying and distribution of this file, with or without modification, are permitted in any medium without royalty
+provided the copyright notice and this notice are preserved. This file is offered as-is, without any warranty."""
+
+GPL_NOTICE = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later
+version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with this program. If not, see
+<https://www.gnu.org/licenses/>."""
+
+MPL_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+#: Known licences: short ones whole, long ones by the notice that stands for them; a caller may give another table.
 KNOWN = {
     "MIT": MIT,
     "MIT-titled": "MIT License\n\n" + MIT,
@@ -101,17 +159,29 @@ KNOWN = {
     "BSD-3-Clause": BSD_HEAD + "\n\n" + BSD_THIRD + "\n\n" + BSD_TAIL,
     "Zlib": ZLIB,
     "Apache-2.0-notice": APACHE_NOTICE,
+    "BSD-1-Clause": BSD_HEAD.split("\n\n2.")[0] + "\n\n" + BSD_TAIL,
+    "MIT-0": MIT.split(", subject to")[0] + ".\n\n" + MIT.split("\n\n")[2],
+    "Unlicense": UNLICENSE,
+    "BSL-1.0": BOOST,
+    "WTFPL": WTFPL,
+    "PostgreSQL-grant": POSTGRESQL_GRANT,
+    "FSFAP": ALL_PERMISSIVE,
+    "GPL-2.0-or-later-notice": GPL_NOTICE.format(2),
+    "GPL-3.0-or-later-notice": GPL_NOTICE.format(3),
+    "AGPL-3.0-or-later-notice": GPL_NOTICE.format(3).replace("GNU General", "GNU Affero General"),
+    "LGPL-3.0-or-later-notice": GPL_NOTICE.format(3).replace("GNU General", "GNU Lesser General"),
+    "MPL-2.0-notice": MPL_NOTICE,
 }
 
 
 def canonical(text: Column) -> Column:
-    """Canonical form of a text (null: empty): blank, words parted by one blank, blank."""
+    """Canonical form of a text (null: empty): words parted by one blank, each in its chosen spelling."""
     out = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
     out = F.regexp_replace(out, COPYRIGHT_LINE, "$1")
-    out = F.concat(F.lit(" "), F.regexp_replace(out, FOLDED, " "), F.lit(" "))
-    for old, new in EQUIVALENT:
-        out = F.replace(out, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.trim(out)
+    out = F.trim(F.regexp_replace(out, FOLDED, " "))
+    chosen = F.create_map(*(F.lit(x) for pair in EQUIVALENT for x in pair))
+    words = F.transform(F.split(out, " ", -1), lambda w: F.coalesce(F.try_element_at(chosen, w), w))
+    return F.when(F.rlike(out, F.lit(r"\b(?:" + "|".join(old for old, _ in EQUIVALENT) + r")\b")), F.array_join(words, " ")).otherwise(out)
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
@@ -138,19 +208,19 @@ def scan_licences(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 
 def oracle() -> str:
-    """The scan as DuckDB SQL over ``documents``, with the built-in licences."""
+    """The scan as DuckDB SQL over ``documents``, with the built-in licences; words are looked up one by one."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     form = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
     form = f"regexp_replace({form}, {quoted(COPYRIGHT_LINE)}, '\\1', 'g')"
-    form = f"' ' || regexp_replace({form}, {quoted(FOLDED)}, ' ', 'g') || ' '"
-    for old, new in EQUIVALENT:
-        form = f"replace({form}, ' {old} ', ' {new} ')"
+    form = f"trim(regexp_replace({form}, {quoted(FOLDED)}, ' ', 'g'), ' ')"
+    cases = " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in EQUIVALENT)
+    form = f"array_to_string(list_transform(string_split({form}, ' '), lambda w: CASE w {cases} ELSE w END), ' ')"
     rows = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in sorted(KNOWN.items()))
     return f"""
 WITH known AS (
-  SELECT sha256(trim({form}, ' ')) AS digest, min(license_id) AS license_id
+  SELECT sha256({form}) AS digest, min(license_id) AS license_id
   FROM (VALUES {rows}) AS k(license_id, text) GROUP BY 1
-), read AS (SELECT doc_id, trim({form}, ' ') AS canonical FROM documents)
+), read AS (SELECT doc_id, {form} AS canonical FROM documents)
 SELECT doc_id, CAST(length(canonical) AS BIGINT) AS n_canonical, sha256(canonical) AS digest, license_id
 FROM read LEFT JOIN known ON sha256(read.canonical) = known.digest
 """
