@@ -4,26 +4,29 @@ Statistics come from the UTF-8 bytes of whole texts, by flat numpy counting.  A
 Gaussian kernel over the standardised statistics is approximated by random
 cosines; each partition of labelled rows sums its part of the normal equations,
 and only the sums (of fixed size) reach the driver.  Scores are calibrated by
-isotonic regression over a fixed grid of raw scores, again from partition sums.
+isotonic regression over a fixed grid of raw scores, again from partition sums, on
+labelled documents that the ridge has not seen.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isallobar.llm.bpe import batch_texts
-from isallobar.llm.common import settle
+from isallobar.llm.common import discard, settle
 
 #: Random cosines, kernel width (in standard deviations), ridge and calibration grid.
 COSINES, KERNEL_WIDTH, RIDGE, GRID, SEED = 192, 6.0, 1e-3, 512, 11
 #: Statistics count up to so many deviations, and half at so many bytes: a few words say little.
 CLIP, SHORT_BYTES = 4.0, 40.0
+#: Vectors that sums over all tasks are gathered in before the driver adds them.
+SUMS = 16
 #: A document is kept from this calibrated score on.
 THRESHOLD = 0.7
 
@@ -142,61 +145,95 @@ def isotonic(good: np.ndarray, total: np.ndarray) -> np.ndarray:
     return np.interp(np.arange(len(total)), cells, np.maximum.accumulate(fitted))
 
 
-def _sums(rows: DataFrame, width: int, part) -> np.ndarray:
-    """Sum over all rows of ``part(stats, labels)``, a vector of ``width`` numbers.
+def _sums(rows: DataFrame, width: int, part: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over all rows of ``part(stats, labels, apart)``, a vector of ``width`` numbers.
 
-    Each task sends one vector, and vectors are added up by element before the
-    driver sees them.
+    Each task sends one packed vector; vectors are added up in ``SUMS`` groups before
+    the driver sees as many.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         held = np.zeros(width)
         for batch in batches:
             if batch.num_rows:
                 stats = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
-                held += part(stats, batch.column(1).to_numpy().astype(float))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width), pa.int32()), pa.array(held)], names=["k", "v"])
+                held += part(stats, batch.column(1).to_numpy().astype(float), batch.column(2).to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % SUMS], pa.int32()), pa.array([held.tobytes()], pa.binary())], names=["k", "v"])
 
-    summed = rows.select("stats", "label").mapInArrow(work, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
-    out = np.zeros(width)
-    for r in summed:
-        out[r.k] = r.v
-    return out
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width)
+        for batch in batches:
+            for v in batch.column(1):
+                total += np.frombuffer(v.as_buffer(), np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["v"])
+
+    vectors = rows.select("stats", "label", "apart").mapInArrow(work, "k int, v binary")
+    summed = vectors.repartition(SUMS, "k").mapInArrow(added, "v binary").collect()  # at most SUMS vectors
+    return sum((np.frombuffer(r.v, np.float64) for r in summed), np.zeros(width))
 
 
 def fit(rows: DataFrame) -> Model | None:
-    """Fit on ``stats`` and ``label`` (0 or 1); None where there are no rows."""
+    """Fit on ``stats`` and ``label`` (0 or 1); None where there are no rows.
+
+    Rows ``apart`` calibrate the scores and teach nothing else; if all rows or none are apart, all do both.
+    """
     n = len(STATISTICS)
-    first = _sums(rows, 2 * n + 1, lambda s, y: np.concatenate([s.sum(axis=0), (s**2).sum(axis=0), [len(y)]]))
-    count = first[-1]
-    if not count:
+    first = _sums(rows, 4 * n + 2, lambda s, y, c: np.concatenate([x for k in (~c, c) for x in (s[k].sum(axis=0), (s[k] ** 2).sum(axis=0), [k.sum()])]))
+    learned, other = first[: 2 * n + 1], first[2 * n + 1 :]
+    if not learned[-1] + other[-1]:
         return None
-    centre = first[:n] / count
-    scale = np.sqrt(np.maximum(first[n : 2 * n] / count - centre**2, 1e-12))
+    both = not learned[-1] or not other[-1]
+    if both:
+        learned = learned + other
+    count = learned[-1]
+    centre = learned[:n] / count
+    scale = np.sqrt(np.maximum(learned[n : 2 * n] / count - centre**2, 1e-12))
     random = np.random.default_rng(SEED)
     model = Model(centre, scale, random.standard_normal((n, COSINES)) / KERNEL_WIDTH, random.uniform(0, 2 * np.pi, COSINES), np.zeros(COSINES + 1), np.zeros(GRID))
     m = COSINES + 1
-
-    def equations(stats: np.ndarray, labels: np.ndarray) -> np.ndarray:
-        z = model.lift(stats)
-        return np.concatenate([(z.T @ z).ravel(), z.T @ labels])
-
-    sums = _sums(rows, m * m + m, equations)
-    left, right = sums[: m * m].reshape(m, m), sums[m * m :]
-    weights = np.linalg.solve(left + RIDGE * count * np.diag([0.0] + [1.0] * COSINES) / m + 1e-9 * np.eye(m), right)
+    upper = np.triu_indices(m)
+
+    def equations(stats: np.ndarray, labels: np.ndarray, apart: np.ndarray) -> np.ndarray:
+        use = ~apart | both
+        z = model.lift(stats[use])
+        return np.concatenate([(z.T @ z)[upper], z.T @ labels[use]])
+
+    sums = _sums(rows, len(upper[0]) + m, equations)
+    left = np.zeros((m, m))
+    left[upper] = sums[:-m]
+    left = left + np.triu(left, 1).T
+    weights = np.linalg.solve(left + RIDGE * count * np.diag([0.0] + [1.0] * COSINES) / m + 1e-9 * np.eye(m), sums[-m:])
     model = Model(centre, scale, model.turn, model.phase, weights, model.grid)
 
-    def cells(stats: np.ndarray, labels: np.ndarray) -> np.ndarray:
-        at = np.rint(np.clip(model.raw(stats), 0, 1) * (GRID - 1)).astype(int)
-        return np.concatenate([np.bincount(at, labels, GRID), np.bincount(at, minlength=GRID)])
+    def cells(stats: np.ndarray, labels: np.ndarray, apart: np.ndarray) -> np.ndarray:
+        use = apart | both
+        at = np.rint(np.clip(model.raw(stats[use]), 0, 1) * (GRID - 1)).astype(int)
+        return np.concatenate([np.bincount(at, labels[use], GRID), np.bincount(at, minlength=GRID)])
 
     good, total = np.split(_sums(rows, 2 * GRID, cells), 2)
     return Model(centre, scale, model.turn, model.phase, weights, isotonic(good, total))
 
 
-def held_out(doc_id) -> F.Column:
-    """Whether a document's label is kept from training: crc32 of its id as text, modulo 4, is 2."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+def remainder(doc_id: str) -> Column:
+    """crc32 of a document's id as text, modulo 4."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
+
+
+def held_out(doc_id: str) -> Column:
+    """Whether a document's label is kept from training: its remainder is 2."""
+    return F.coalesce(remainder(doc_id) == 2, F.lit(False))
+
+
+def learned(stats: DataFrame, labels: DataFrame) -> Model | None:
+    """The model of all labels that may be learned from; those of remainder 3 calibrate it."""
+    known = labels.where("quality IN (0, 1)").where(~held_out("doc_id")).groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("most")).where("label = most")
+    joined = stats.join(known.select("doc_id", "label"), "doc_id").select("stats", "label", (remainder("doc_id") == 3).alias("apart"))
+    rows = settle(joined, "labelled")
+    model = fit(rows)
+    discard(rows)
+    return model
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -211,9 +248,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     from, every score is 0.5.
     """
     stats = settle(measured(docs), "statistics")
-    known = labels.where("quality IN (0, 1)").where(~held_out("doc_id")).groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("most")).where("label = most")
-    rows = settle(stats.join(known.select("doc_id", "label"), "doc_id").select("stats", "label"), "labelled")
-    model = fit(rows)
+    model = learned(stats, labels)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,10 +266,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
 
     The decision belongs to the row's own text, also where ids repeat or are null.
     """
-    stats = measured(docs)
-    known = labels.where("quality IN (0, 1)").where(~held_out("doc_id")).groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("most")).where("label = most")
-    rows = settle(stats.join(known.select("doc_id", "label"), "doc_id").select("stats", "label"), "labelled")
-    model = fit(rows)
+    model = learned(measured(docs), labels)
     if model is None:
         return docs
     place = docs.columns.index("text")

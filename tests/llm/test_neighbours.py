@@ -107,12 +107,10 @@ def test_near_duplicates_against_all_pairs(spark):
 
 def plain_nearest(rows, k=10):
     good = [(i, np.array(v, float)) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(np.array(v, float)).all() and np.any(v)]
-    size = max((len(v) for _, v in good), default=0)
-    good = [(i, v) for i, v in good if len(v) == size]
     out = []
     for q, v in good:
         if q % 100 == 0:
-            near = sorted((float(np.sqrt(((v - w) ** 2).sum())), i) for i, w in good if i != q)[:k]
+            near = sorted((float(np.sqrt(((v - w) ** 2).sum())), i) for i, w in good if i != q and len(v) == len(w))[:k]
             out += [(q, r, i, d) for r, (d, i) in enumerate(near, 1)]
     return sorted(out)
 
@@ -123,7 +121,7 @@ def test_nearest_against_brute_force(spark):
         vectors = rnd.standard_normal((n, d)).astype(np.float32)
         vectors[n // 2 : n // 2 + n // 3] = vectors[1]  # one vector that a third of all rows share
         rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
-        rows += [(n, None), (n + 1, [0.0] * d), (n + 2, [float("nan")] + [1.0] * (d - 1)), (n + 3, [None] + [1.0] * (d - 1)), (None, [1.0] * d), (n + 4, [float("inf")] * d), (n + 5, [1.0])]
+        rows += [(n, None), (n + 1, [0.0] * d), (n + 2, [float("nan")] + [1.0] * (d - 1)), (n + 3, [None] + [1.0] * (d - 1)), (None, [1.0] * d), (n + 4, [float("inf")] * d), (n + 5, [1.0]), (100 * n, [1.0] * (d + 1)), (100 * n + 1, [2.0] * (d + 1))]
         got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3))
         found, wanted = sorted(tuple(r) for r in got.collect()), plain_nearest(rows)
         same = {(a[0], a[2]) for a in found} & {(b[0], b[2]) for b in wanted}
@@ -167,17 +165,24 @@ def plain_warc(rows):
 
 def test_archives_give_records_back(spark):
     rows = [(k, "u\r\nv" if k % 3 else None, html) for k, html in enumerate(["<p>é</p>", "", None, "x" * 700_000, "<p>é</p>", "a\r\n\r\nWARC/1.1\r\n", "\x00", *(f"<b>{k}</b>" for k in range(50)), *["same"] * 30])]
-    rows += [(60, "u", "same"), (86, "u", "same"), (86, "u", "same"), (None, "u", "same"), (None, None, "lonely"), (None, None, "lonely")]
+    rows += [(60, "u", "same"), (86, "u", "same"), (86, "w", "same"), (86, "w", "same"), (4, "z", "<p>é</p>"), (4, "y", "<p>é</p>"), (4, "q", "else"), (None, "u", "same"), (None, None, "lonely"), (None, None, "lonely")]
     pages = spark.createDataFrame([(a, b, c, "z") for a, b, c in rows], "page_id long, url string, html string, sha string").repartition(3)
     bundles = warc.write_bundles(pages)
     got = sorted((tuple(r) for r in warc.read_bundles(bundles).collect()), key=str)
     assert got == plain_warc([(a, c) for a, _, c in rows])
+    links, ids, referred = [], [], set()
     for b in bundles.collect():
         data = bytes(b.data)
         assert len(warc.seek_table(data)) == max(e.frame for e in b["index"]) + 1
         for e in b["index"]:
             fields, body = warc.read_record(data, e.frame, e.offset)
-            assert fields["WARC-Record-ID"] == f"<urn:page:{'' if e.page_id is None else e.page_id}>"
+            assert fields["WARC-Record-ID"] == e.record_id
+            links.append((fields["WARC-Page-ID"], fields["WARC-Target-URI"]))
+            ids.append(e.record_id)
+            if fields["WARC-Type"] == "revisit":
+                referred.add(fields["WARC-Refers-To"])
+    assert len(ids) == len(set(ids)) and referred <= set(ids)
+    assert sorted(links) == sorted(("" if a is None else str(a), (b or "").replace("\r", "%0D").replace("\n", "%0A")) for a, b, _ in rows)
     with pytest.raises(ValueError):
         warc.seek_table(b"nothing that ends in a table")
     assert warc.read_bundles(warc.write_bundles(pages.where("false"))).count() == 0
@@ -193,6 +198,13 @@ def test_licences(spark):
     con = duckdb.connect()
     con.register("documents", docs.select("doc_id", "text").toArrow())
     assert sorted(map(str, con.execute(licences.oracle()).fetchall())) == sorted(str(tuple(r)) for r in licences.scan_licences(docs).collect())
+    spelt = documents(spark, ["Licence licence LICENCE, sublicence", "Copyright The Foo Authors\n\n" + licences.KNOWN["MIT-0"], "Copyright [yyyy] [name]\n" + licences.KNOWN["BSL-1.0"], "copyright\nholders", *licences.KNOWN.values()])
+    rows = {r.doc_id: r for r in licences.scan_licences(spelt).where("doc_id <> 5").collect()}
+    assert rows[0].digest == hashlib.sha256(b"license license license sublicense").hexdigest()
+    assert rows[1].license_id == "MIT-0" and rows[2].license_id == "BSL-1.0" and rows[3].n_canonical == len("copyright holders")
+    assert [rows[k].license_id for k in sorted(rows) if 6 <= k < 4 + len(licences.KNOWN)] == list(licences.KNOWN)[2:]
+    con.register("documents", spelt.select("doc_id", "text").toArrow())
+    assert sorted(map(str, con.execute(licences.oracle()).fetchall())) == sorted(str(tuple(r)) for r in licences.scan_licences(spelt).collect())
     other = spark.createDataFrame([("own", " X \n y z"), ("zz", "x y z")], "license_id string, text string")
     assert {r.license_id for r in licences.scan_licences(docs, other).where("doc_id = 7").collect()} == {"own"}
     assert licences.scan_licences(empty(spark)).count() == 0
@@ -225,6 +237,56 @@ def test_quality_learns_and_calibrates(spark):
     assert quality.quality_scores(docs.where("false"), labels).count() == 0
 
 
+def plain_scores(texts, labels, marks):
+    """Ridge by least squares on stacked rows, and the isotonic fit by its min-max formula."""
+    import zlib
+
+    stats = quality.statistics(texts)
+    fold = [zlib.crc32(str(k).encode()) % 4 for k in range(len(texts))]
+    teach = [k for k in marks if fold[k] in (0, 1)]
+    check = [k for k in marks if fold[k] == 3]
+    centre, scale = stats[teach].mean(axis=0), stats[teach].std(axis=0)
+    draw = np.random.default_rng(quality.SEED)
+    turn = draw.standard_normal((stats.shape[1], quality.COSINES)) / quality.KERNEL_WIDTH
+    phase = draw.uniform(0, 2 * np.pi, quality.COSINES)
+
+    def lifted(row):
+        z = np.clip((row - centre) / np.maximum(scale, 1e-6), -quality.CLIP, quality.CLIP)
+        size = np.expm1(row[0])
+        z = z * size / (size + quality.SHORT_BYTES)
+        return np.array([1.0, *(np.sqrt(2 / quality.COSINES) * np.cos(z @ turn[:, j] + phase[j]) for j in range(quality.COSINES))])
+
+    rows = np.array([lifted(s) for s in stats])
+    m = quality.COSINES + 1
+    pull = np.sqrt(quality.RIDGE * len(teach) * np.array([0.0] + [1.0] * quality.COSINES) / m + 1e-9)
+    weights = np.linalg.lstsq(np.vstack([rows[teach], np.diag(pull)]), np.concatenate([[labels[k] for k in teach], np.zeros(m)]), rcond=None)[0]
+    raw = np.clip(rows @ weights, 0, 1) * (quality.GRID - 1)
+    cell = np.rint(raw).astype(int)
+    used = sorted({cell[k] for k in check})
+    good = [sum(labels[k] for k in check if cell[k] == c) for c in used]
+    total = [sum(cell[k] == c for k in check) for c in used]
+    fitted, pools = [], []
+    for k in range(len(used)):
+        level = max(min(sum(good[i : j + 1]) / sum(total[i : j + 1]) for j in range(k, len(used))) for i in range(k + 1))
+        pools.append(level)
+    for k, level in enumerate(pools):
+        same = [j for j, other in enumerate(pools) if abs(other - level) < 1e-12]
+        fitted.append((sum(good[j] for j in same) + 0.05) / (sum(total[j] for j in same) + 0.1))
+    grid = np.interp(np.arange(quality.GRID), used, np.maximum.accumulate(fitted))
+    return np.clip(np.interp(raw, np.arange(quality.GRID), grid), 0, 1)
+
+
+def test_scores_equal_a_single_machine_version(spark):
+    rnd = random.Random(3)
+    texts = [prose(k, 20 + 3 * (k % 80)) if k % 3 else " ".join(w + rnd.choice(["", "##", "$$"]) for w in prose(k, 20 + k % 60).split()) for k in range(400)]
+    labels = {k: int(k % 3 > 0) if rnd.random() < 0.9 else rnd.randint(0, 1) for k in range(400)}
+    marks = [k for k in range(400) if k % 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs, spark.createDataFrame([(k, labels[k]) for k in marks], "doc_id long, quality int")).collect()}
+    wanted = plain_scores(texts, labels, [k for k in marks])
+    assert max(abs(got[k] - wanted[k]) for k in got) < 1e-5
+
+
 def test_isotonic_is_monotone_and_keeps_means():
     good, total = np.array([0.0, 3, 1, 0, 8]), np.array([4.0, 4, 4, 0, 8])
     fitted = quality.isotonic(good, total)
