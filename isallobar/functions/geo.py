@@ -46,11 +46,6 @@ def wrapped_longitude(lon: Column) -> Column:
     return F.when(near >= 180.0, near - 360.0).otherwise(near)
 
 
-def flat_arc(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    """Degrees of arc of a short step, longitudes scaled by the first latitude."""
-    return F.hypot((lon2 - lon1) * F.cos(F.radians(lat1)), lat2 - lat1)
-
-
 def offset_point(lon: Column, lat: Column, east_km: Column, north_km: Column) -> tuple[Column, Column]:
     """A point moved by distances east and north."""
     return lon + F.degrees(east_km / (EARTH_RADIUS_KM * F.cos(F.radians(lat)))), lat + F.degrees(north_km / EARTH_RADIUS_KM)
@@ -64,9 +59,3 @@ def axis_is_global(first: Column, second: Column, last: Column) -> Column:
 def axis_is_periodic(count: Column, first: Column, second: Column) -> Column:
     """Whether as many steps as points make 360 degrees."""
     return (count > 1) & (F.abs(count * F.abs(second - first) - 360.0) <= 1e-8 + 1e-5 * 360.0)
-
-
-def fractional_index(value: Column, first: float, step: float, count: int) -> Column:
-    """Place of a value on an even axis in index units, null outside it."""
-    low, high = sorted((first, first + step * (count - 1)))
-    return F.when((value >= low) & (value <= high), (value - first) / step)

@@ -10,6 +10,8 @@ STORE = r"^(\d{4}-\d{2}-\d{2})T(\d{2})Z(?:_f\d{3})?\.zarr$"
 STEP_STORE = r"^(\d{4}-\d{2}-\d{2})T(\d{2})Z_f(\d{3})\.zarr$"
 CACHE_FILE = r"^(\d{4}-\d{2}-\d{2})_\d{2}z_.*\.grib2$"
 SIDE_FILE = r"^(\d{4}-\d{2}-\d{2})T\d{2}Z(?:_f\d{3})?\.(?:fronts\.geojson|fields\.npz|probs\.npz|pressure\.geojson)$"
+#: Folders of intermediate tables that stand beside a store.
+SIDE_FOLDER = r"^(\d{4}-\d{2}-\d{2})T\d{2}Z_f\d{3}\.(?:fields|probs|points)$"
 SUFFIXES = {"fronts": ".fronts.geojson", "fields": ".fields.npz", "probs": ".probs.npz", "pressure": ".pressure.geojson"}
 SYNOPTIC_HOURS = (0, 6, 12, 18)
 
@@ -31,8 +33,8 @@ def embedded_date(name: Column, pattern: str) -> Column:
 
 def parsed_store(name: Column) -> Column:
     """(date, hour, step) of a store name with a lead time, null otherwise."""
-    part = lambda k: F.regexp_extract(name, STEP_STORE, k)
-    return F.when(F.rlike(name, F.lit(STEP_STORE)), F.struct(part(1).alias("date"), part(2).cast("int").alias("hour"), part(3).cast("int").alias("step")))
+    part = lambda start, size: F.substring(name, start, size)  # noqa: E731  the layout's places are fixed
+    return F.when(F.rlike(name, F.lit(STEP_STORE)), F.struct(part(1, 10).alias("date"), part(12, 2).cast("int").alias("hour"), part(17, 3).cast("int").alias("step")))
 
 
 def valid_time(cycle: Column, step: Column) -> Column:

@@ -65,10 +65,3 @@ def nan_to_null(x: Column) -> Column:
 def squashed(x: Column, scale: float) -> Column:
     """A clue squeezed into (-1, 1)."""
     return F.tanh(x / F.lit(scale))
-
-
-def softmax(logits: Column, temperature: float = 1.0) -> Column:
-    """Softmax of an array of logits at a temperature, shifted by the maximum."""
-    top = F.array_max(logits)
-    raised = F.transform(logits, lambda x: F.exp((x - top) / F.lit(temperature)))
-    return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, b: a + b))

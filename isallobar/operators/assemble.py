@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isallobar.functions import physics
 from isallobar.operators import derive
 from isallobar.operators.grid import Grid
-from isallobar.plans.manifest import STATIC, ModelManifest
+from isallobar.plans.manifest import STATIC, Model, check_sources
 
 
 def with_derived(fields: DataFrame, keys: list[str], grid: Grid, wanted: set[str]) -> DataFrame:
@@ -33,7 +33,7 @@ def with_derived(fields: DataFrame, keys: list[str], grid: Grid, wanted: set[str
     return out
 
 
-def assemble(fields: DataFrame, manifest: ModelManifest, keys: list[str], grid: Grid, static: DataFrame | None = None) -> DataFrame:
+def assemble(fields: DataFrame, manifest: Model, keys: list[str], grid: Grid, static: DataFrame | None = None) -> DataFrame:
     """One row (keys, r, c, channels) for each cell; a cell that lacks a channel has a null there.
 
     ``fields`` is long (keys, variable, level, r, c, v), ``static`` is (variable, r, c, v) and
@@ -41,11 +41,11 @@ def assemble(fields: DataFrame, manifest: ModelManifest, keys: list[str], grid:
     and levels reaches the scan.  The static grid is one small field, broadcast after its size
     (at most the grid's cells for each static variable) is checked.
     """
-    manifest.check_known()
-    wanted = {v.name for v in manifest.variables}
+    check_sources(manifest)
+    wanted = set(manifest.names)
     derived = wanted & {"equivalent_potential_temperature", "potential_vorticity"}
     whole = with_derived(fields, keys, grid, derived) if derived else fields
-    levels = list(manifest.levels or ())
+    levels = list(manifest.levels)
     picked = whole.where(F.col("variable").isin(*wanted) & (F.col("level").isNull() | F.col("level").isin(*levels)))
     name = F.when(F.col("level").isNull(), F.col("variable")).otherwise(F.concat_ws("_", "variable", F.col("level").cast("string")))
     own = [c for c in manifest.channel_names() if c not in STATIC]
@@ -65,17 +65,6 @@ def _pivot(df: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     return df.groupBy(*keys, "r", "c").pivot("channel", names).agg(F.first("v"))
 
 
-def volume(channels: Column, levels: int, on_levels: int) -> Column:
-    """Flat channels as levels of variables; single-level values repeat at every level."""
-    single = F.slice(channels, levels * on_levels + 1, F.greatest(F.lit(0), F.size(channels) - levels * on_levels))
-    return F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), lambda k: F.concat(F.slice(channels, k * on_levels + 1, F.lit(on_levels)), single))
-
-
-def selected(values: Column, indices: list[int]) -> Column:
-    """The values at given places, in that order."""
-    return F.array(*(F.get(values, F.lit(i)) for i in indices))
-
-
 def by_class(df: DataFrame, probabilities: str, classes: list[str]) -> DataFrame:
     """A row (…, cls, p) for each class of an array of probabilities."""
     names = F.array(*(F.lit(c) for c in classes))
@@ -83,7 +72,7 @@ def by_class(df: DataFrame, probabilities: str, classes: list[str]) -> DataFrame
     return df.select(*rest, F.posexplode(probabilities).alias("_k", "p")).select(*rest, F.get(names, F.col("_k")).alias("cls"), "p")
 
 
-def orientation_fields(inputs: DataFrame, manifest: ModelManifest, grid: Grid) -> DataFrame | None:
+def orientation_fields(inputs: DataFrame, manifest: Model, grid: Grid) -> DataFrame | None:
     """850 hPa temperature and winds of assembled inputs, thinned on fine grids, in signed longitudes."""
     names = manifest.channel_names()
     wanted = {"temperature": "equivalent_potential_temperature_850", "u": "u_component_of_wind_850", "v": "v_component_of_wind_850"}

@@ -70,22 +70,25 @@ class Meeting:
     through: int | None = None
 
 
+def crest_mask(fields: dict[str, np.ndarray], types: list[str], settings: Settings) -> np.ndarray:
+    """Where the summed probability of a group of types reaches the threshold."""
+    return sum(fields[t] for t in types) >= settings.threshold
+
+
+def dominant(p: np.ndarray) -> np.ndarray:
+    """The type (first axis) of the highest probability at each place, the first of equal ones."""
+    return p.argmax(axis=0)
+
+
 def crest_paths(mask: np.ndarray, grid: Grid, settings: Settings) -> list[list[tuple[int, np.ndarray]]]:
     """For every crest the paths (parent, (n, 2) cells) of its tree, the longest first."""
     rows, cols = np.nonzero(mask)
     if not len(rows):
         return []
-    number = {cell: k for k, cell in enumerate(zip(rows.tolist(), cols.tolist(), strict=True))}
-    lat, lon = 90.0 - rows * grid.dlat, cols * grid.dlon
-    a, b = [], []
-    for (r, c), k in number.items():
-        for dr, dc in ((0, 1), (1, -1), (1, 0), (1, 1)):
-            other = number.get((r + dr, (c + dc) % grid.cols))
-            if other is not None and other != k:
-                a.append(k)
-                b.append(other)
-    weight = kernels.haversine_km(lon[a], lat[a], lon[b], lat[b]) if a else []
-    tree = kernels.spanning_forest(len(rows), list(zip(np.asarray(weight).tolist(), a, b, strict=True)))
+    lat, lon = grid.north - rows * grid.dlat, grid.west + cols * grid.dlon
+    a, b = kernels.touching(rows, cols, grid.cols, grid.closed)
+    weight = kernels.haversine_km(lon[a], lat[a], lon[b], lat[b])
+    tree = kernels.spanning_forest(len(rows), list(zip(weight.tolist(), a.tolist(), b.tolist(), strict=True)))
     cells = np.column_stack([rows, cols])
     seen: set[int] = set()
     out = []
@@ -102,31 +105,17 @@ def crest_paths(mask: np.ndarray, grid: Grid, settings: Settings) -> list[list[t
 
 def located(path: np.ndarray, grid: Grid) -> tuple[np.ndarray, np.ndarray]:
     """Longitudes (carrying on over the seam) and latitudes of cells."""
-    return np.unwrap(path[:, 1] * grid.dlon, period=360.0), 90.0 - path[:, 0] * grid.dlat
-
-
-def turn_at(lon: np.ndarray, lat: np.ndarray, k: int, km: float) -> float:
-    """How far a line turns at a point, legs read at least ``km`` out."""
-    far = kernels.along_km(lon, lat)
-    before = max((j for j in range(k) if far[k] - far[j] >= km), default=0)
-    after = min((j for j in range(k + 1, len(lon)) if far[j] - far[k] >= km), default=len(lon) - 1)
-    middle = np.radians(lat[:-1] + lat[1:]) / 2
-    east = np.append(0.0, np.cumsum(((np.diff(lon) + 180.0) % 360.0 - 180.0) * np.cos(middle)))
-    way = east + 1j * np.append(0.0, np.cumsum(np.diff(lat)))
-    come, go = way[k] - way[before], way[after] - way[k]
-    return 0.0 if come == 0 or go == 0 else float(abs(np.degrees(np.angle(go / come))))
+    return kernels.carried_on(grid.west + path[:, 1] * grid.dlon), grid.north - path[:, 0] * grid.dlat
 
 
 def arms_of(paths: list[tuple[int, np.ndarray]], grid: Grid, settings: Settings) -> tuple[list[np.ndarray], list[Meeting]]:
     """Cut paths at sharp corners where branches leave them; return the arms and where they meet."""
-    place = [{tuple(cell): k for k, cell in reversed(list(enumerate(path.tolist())))} for _, path in paths]
-    leaves = [(parent, place[parent].get(tuple(path[0].tolist())), branch) for branch, (parent, path) in enumerate(paths) if parent >= 0]
-    leaves = [x for x in leaves if x[1] is not None]
+    leaves = kernels.junctions(paths)
     cuts: list[set[int]] = [set() for _ in paths]
     for parent, k, _ in leaves:
         lon, lat = located(paths[parent][1], grid)
         far = kernels.along_km(lon, lat)
-        if 0 < k < len(lon) - 1 and min(far[k], far[-1] - far[k]) >= settings.section_km and turn_at(lon, lat, k, settings.corner_km) >= settings.corner_deg:
+        if 0 < k < len(lon) - 1 and min(far[k], far[-1] - far[k]) >= settings.section_km and kernels.turn_at(lon, lat, k, settings.corner_km) >= settings.corner_deg:
             cuts[parent].add(k)
     arms: list[np.ndarray] = []
     spans: list[list[tuple[int, int, int]]] = []
@@ -146,57 +135,32 @@ def arms_of(paths: list[tuple[int, np.ndarray]], grid: Grid, settings: Settings)
     return arms, list(meetings.values())
 
 
-def near(lon: float | np.ndarray, reference: float) -> float | np.ndarray:
-    return lon + 360.0 * np.round((reference - lon) / 360.0)
-
-
-def moved_end(line: tuple[np.ndarray, np.ndarray], at_start: bool, target: tuple[float, float], taper_km: float) -> tuple[np.ndarray, np.ndarray]:
-    """A line with one end on a target; the move fades out along the line."""
-    lon, lat = line
-    end = 0 if at_start else len(lon) - 1
-    goal = float(near(target[0], lon[end]))
-    far = kernels.along_km(lon, lat)
-    away = far if at_start else far[-1] - far
-    taper = min(taper_km, far[-1] / 2)
-    weight = np.where(away < taper, 0.5 + 0.5 * np.cos(np.pi * away / (taper or 1.0)), 0.0)
-    weight[end] = 1.0
-    return lon + weight * (goal - lon[end]), lat + weight * (target[1] - lat[end])
-
-
-def nearest_on(line: tuple[np.ndarray, np.ndarray], lon: float, lat: float) -> tuple[float, float]:
-    """The place on a polyline that is nearest to a point."""
-    scale = np.array([np.cos(np.radians(lat)), 1.0])
-    flat = np.column_stack([near(line[0], lon) - lon, line[1] - lat]) * scale
-    step = np.diff(flat, axis=0)
-    size = (step**2).sum(axis=1)
-    share = np.clip(-(flat[:-1] * step).sum(axis=1) / np.where(size > 0, size, 1.0), 0, 1)
-    spots = flat[:-1] + share[:, None] * step
-    best = spots[(spots**2).sum(axis=1).argmin()] / scale
-    return lon + float(best[0]), lat + float(best[1])
-
-
 def joined_ends(smooth: list[tuple[np.ndarray, np.ndarray]], meetings: list[Meeting], settings: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
     """Bring the ends that meet together: on their mean at a corner, else onto the line that runs through."""
     moves = []
     for m in meetings:
         spots = [(arm, start, smooth[arm][0][0 if start else -1], smooth[arm][1][0 if start else -1]) for arm, start in m.ends]
         if m.through is None:
-            mean = (float(np.mean([near(x, spots[0][2]) for _, _, x, _ in spots])), float(np.mean([y for *_, y in spots])))
+            mean = (float(np.mean([kernels.near(x, spots[0][2]) for _, _, x, _ in spots])), float(np.mean([y for *_, y in spots])))
             moves += [(arm, start, mean) for arm, start, _, _ in spots]
         else:
-            moves += [(arm, start, nearest_on(smooth[m.through], x, y)) for arm, start, x, y in spots]
+            moves += [(arm, start, kernels.nearest_on(smooth[m.through], x, y)) for arm, start, x, y in spots]
     out = list(smooth)
     for arm, start, target in moves:
-        out[arm] = moved_end(out[arm], start, target, settings.taper_km)
+        out[arm] = kernels.moved_end(out[arm], start, target, settings.taper_km)
     return out
 
 
 def bilinear(field_: np.ndarray, grid: Grid, lon: np.ndarray, lat: np.ndarray) -> np.ndarray:
-    """Values of a global field at points; NaN beyond the poles."""
-    y, x = (90.0 - lat) / grid.dlat, (lon % 360.0) / grid.dlon
+    """Values of a field at points; NaN off the grid."""
+    y, x = (grid.north - lat) / grid.dlat, ((lon - grid.west) % 360.0) / grid.dlon
     inside = (y >= 0) & (y <= grid.rows - 1)
+    if not grid.closed:
+        inside &= x <= grid.cols - 1
+        x = np.clip(x, 0, grid.cols - 1)
     y = np.clip(y, 0, grid.rows - 1)
-    r, c = np.minimum(y.astype(int), grid.rows - 2), x.astype(int)
+    r = np.minimum(y.astype(int), grid.rows - 2)
+    c = x.astype(int) if grid.closed else np.minimum(x.astype(int), grid.cols - 2)
     fr, fc = y - r, x - c
     c, e = c % grid.cols, (c + 1) % grid.cols
     got = (1 - fr) * ((1 - fc) * field_[r, c] + fc * field_[r, e]) + fr * ((1 - fc) * field_[r + 1, c] + fc * field_[r + 1, e])
@@ -211,14 +175,13 @@ def trace(fields: dict[str, np.ndarray], grid: Grid, settings: Settings) -> pd.D
         types = [t for t in group if t in fields]
         if not types:
             continue
-        total = sum(fields[t] for t in types)
-        mask = kernels.thinned_mask(total >= settings.threshold, periodic=True)
+        mask = kernels.thinned_mask(crest_mask(fields, types, settings), periodic=grid.closed)
         for paths in crest_paths(mask, grid, settings):
             arms, meetings = arms_of(paths, grid, settings)
             smooth = [kernels.smooth_line(*located(a, grid), settings.smoothing_deg, settings.spacing_km) for a in arms]
             for line, (lon, lat) in enumerate(joined_ends(smooth, meetings, settings)):
                 p = np.nan_to_num(np.stack([bilinear(fields[t], grid, lon, lat) for t in types]))
-                runs = kernels.folded_runs(p.argmax(axis=0), kernels.along_km(lon, lat), settings.section_km)
+                runs = kernels.folded_runs(dominant(p), kernels.along_km(lon, lat), settings.section_km)
                 for section, (k, a, b) in enumerate(runs):
                     at = np.arange(a, b + 1)
                     out.append(pd.DataFrame({"front": front, "grp": group_number, "line": line, "section": section, "front_type": types[k], "i": at, "lon": lon[at], "lat": lat[at], "p": p[k, at]}))

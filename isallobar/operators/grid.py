@@ -1,7 +1,7 @@
-"""Regular global grids in long form: axes, adapters, padding, rolling, thinning, periodic selection.
+"""Regular grids in long form: axes, adapters, padding, rolling, thinning, periodic selection.
 
 Cells are rows ``(keys..., r, c, values...)`` with ``r`` counted from the north and ``c``
-from longitude 0.  Coordinates are expressions of ``r`` and ``c``, so no axis table is
+from the west.  Coordinates are expressions of ``r`` and ``c``, so no axis table is
 joined.  All operators here are projections or explosions: none shuffles.
 """
 
@@ -15,24 +15,41 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Grid:
-    """An even grid from pole to pole and once around the globe."""
+    """An even grid, from pole to pole and once around the globe unless its edges say otherwise.
+
+    A grid that spans 360 degrees is closed: its columns wrap.  Others end with their last
+    row and column, which lie on the edges.
+    """
 
     rows: int = 721
     cols: int = 1440
+    north: float = 90.0
+    south: float = -90.0
+    west: float = 0.0
+    span: float = 360.0
+
+    @property
+    def closed(self) -> bool:
+        return self.span >= 360.0
+
+    @property
+    def gaps(self) -> int:
+        """Steps of longitude between the edges."""
+        return self.cols if self.closed else self.cols - 1
 
     @property
     def dlat(self) -> float:
-        return 180.0 / (self.rows - 1)
+        return (self.north - self.south) / (self.rows - 1)
 
     @property
     def dlon(self) -> float:
-        return 360.0 / self.cols
+        return self.span / self.gaps
 
     def lat(self, r: Column | str = "r") -> Column:
-        return 90.0 - (F.col(r) if isinstance(r, str) else r) * 180.0 / (self.rows - 1)
+        return self.north - (F.col(r) if isinstance(r, str) else r) * (self.north - self.south) / (self.rows - 1)
 
     def lon(self, c: Column | str = "c") -> Column:
-        return (F.col(c) if isinstance(c, str) else c) * 360.0 / self.cols
+        return self.west + (F.col(c) if isinstance(c, str) else c) * self.span / self.gaps
 
     def cells(self, spark: SparkSession) -> DataFrame:
         """Every cell (r, c) of the grid."""
@@ -56,13 +73,17 @@ def table_grid(df: DataFrame, key: str, amount: str, grid: Grid) -> DataFrame:
 def normalised_longitudes(df: DataFrame, lon: str = "lon") -> DataFrame:
     """Longitudes in [0, 360) and columns ``c`` numbered from the west.
 
-    The axis is small (distinct longitudes of the field), so it is ranked on its own
-    and joined back.
+    The axis (distinct longitudes of the field) is ranked within whole degrees, of which there
+    are 360 whatever its size, and joined back.
     """
     moved = df.withColumn(lon, F.pmod(F.col(lon), F.lit(360.0)))
-    axis = moved.select(lon).distinct()
-    ranked = axis.select(lon, (F.row_number().over(Window.orderBy(lon)) - 1).cast("int").alias("c"))
-    return moved.drop("c").join(F.broadcast(ranked) if axis.limit(100_001).count() <= 100_000 else ranked, lon)
+    axis = moved.select(lon).distinct().withColumn("_degree", F.floor(lon).cast("int"))
+    counts = axis.groupBy("_degree").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("_degree").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_degree", F.coalesce(before, F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_degree").orderBy(lon))
+    ranked = axis.join(F.broadcast(starts), "_degree").select(lon, (F.col("_before") + within - 1).cast("int").alias("c"))
+    return moved.drop("c").join(ranked, lon)
 
 
 def rolled_to_signed(df: DataFrame, cols: int) -> DataFrame:

@@ -7,11 +7,16 @@ line, joins by the field a line belongs to, so groups stay as small as a line or
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isallobar.functions import geo
+from isallobar.operators import kernels
+from isallobar.operators.grid import Grid
 
 EARTH = geo.EARTH_RADIUS_KM
 
@@ -32,29 +37,39 @@ def lengths(points: DataFrame, keys: list[str]) -> DataFrame:
     return with_steps(points, keys).groupBy(*keys).agg(F.sum("step_km").alias("length_km"))
 
 
+def per_line(points: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.DataFrame], columns: str) -> DataFrame:
+    """Run one of the line kernels that tracing uses over every line, its points in order; ``columns`` names what it returns."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema if f.name in keys)
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("i")
+        found = work(part)
+        return pd.concat([pd.DataFrame({k: [part[k].iloc[0]] * len(found) for k in keys}, index=found.index), found], axis=1)
+
+    return points.groupBy(*keys).applyInPandas(run, f"{schema}, {columns}")
+
+
 def arc_degrees(points: DataFrame, keys: list[str]) -> DataFrame:
-    """Length of every line in degrees of arc."""
-    order = _order(keys)
-    step = geo.flat_arc(F.col("lon"), F.col("lat"), F.lead("lon").over(order), F.lead("lat").over(order))
-    return points.withColumn("_arc", step).groupBy(*keys).agg(F.coalesce(F.sum("_arc"), F.lit(0.0)).alias("arc_deg"))
+    """Length of every line in degrees of arc, as short isobars are dropped by."""
+    return per_line(points, keys, lambda p: pd.DataFrame({"arc_deg": [kernels.arc_degrees(p["lon"].to_numpy(), p["lat"].to_numpy())]}), "arc_deg double")
 
 
-def unwrapped(points: DataFrame, keys: list[str], period: float = 360.0) -> DataFrame:
+def unwrapped(points: DataFrame, keys: list[str]) -> DataFrame:
     """Longitudes that carry on over the seam: no step is longer than half a turn."""
-    order = _order(keys)
-    step = F.col("lon") - F.lag("lon").over(order)
-    turn = F.when(F.abs(step) < period / 2, 0.0).otherwise(-F.floor((step + period / 2) / period) * period)
-    # A step of exactly half a turn keeps its sign.
-    turn = F.when(F.abs(step) == period / 2, 0.0).otherwise(turn)
-    total = F.sum(F.coalesce(F.col("_turn"), F.lit(0.0))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return points.withColumn("_turn", turn).withColumn("lon", F.col("lon") + total).drop("_turn")
+    return per_line(points, keys, lambda p: pd.DataFrame({"i": p["i"], "lon": kernels.carried_on(p["lon"].to_numpy()), "lat": p["lat"]}), "i int, lon double, lat double")
 
 
-def with_runs(points: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Number the stretches of equal ``label`` along each line."""
-    order = _order(keys)
-    new = F.when(F.lag(label).over(order).eqNullSafe(F.col(label)), 0).otherwise(1)
-    return points.withColumn("_new", new).withColumn("run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("_new")
+def runs(points: DataFrame, keys: list[str], label: str, least_km: float = 0.0) -> DataFrame:
+    """Stretches of equal ``label`` along each line (run, label, first, last), those shorter than ``least_km`` folded into neighbours.
+
+    The last point of a stretch is the first of the next one.
+    """
+
+    def work(p: pd.DataFrame) -> pd.DataFrame:
+        found = kernels.folded_runs(p[label].to_numpy(), kernels.along_km(p["lon"].to_numpy(), p["lat"].to_numpy()), least_km)
+        return pd.DataFrame([(k, *x) for k, x in enumerate(found, 1)], columns=["run", "label", "first", "last"])
+
+    return per_line(points, keys, work, "run int, label int, first int, last int")
 
 
 def with_normals(points: DataFrame, keys: list[str]) -> DataFrame:
@@ -71,76 +86,51 @@ def turn_angles(points: DataFrame, keys: list[str], window_km: float = 100.0) ->
     """How far (degrees) a line turns at each of its points.
 
     Each leg reaches to the nearest point at least ``window_km`` away along the line, or to the
-    line's end; legs are flat distances east and north.  One self-join within each line.
+    line's end; legs are flat distances east and north.
     """
-    order = _order(keys)
-    base = with_steps(points, keys)
-    dlon = F.pmod(F.col("lon") - F.lag("lon").over(order) + 180.0, F.lit(360.0)) - 180.0
-    east = F.coalesce(dlon * F.cos(F.radians(F.col("lat") + F.lag("lat").over(order)) / 2) * geo.KM_PER_DEGREE, F.lit(0.0))
-    north = F.coalesce((F.col("lat") - F.lag("lat").over(order)) * geo.KM_PER_DEGREE, F.lit(0.0))
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    flat = base.withColumns({"_e": east, "_n": north}).withColumns({"x": F.sum("_e").over(upto), "y": F.sum("_n").over(upto)})
-    spot = F.struct("along_km", "x", "y")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    held = flat.withColumn("_all", F.collect_list(spot).over(whole))
-    before = F.filter("_all", lambda p: F.col("along_km") - p["along_km"] >= window_km)
-    after = F.filter("_all", lambda p: p["along_km"] - F.col("along_km") >= window_km)
-    legs = held.withColumns({"_b": F.coalesce(F.try_element_at(before, F.lit(-1)), F.get("_all", F.lit(0))), "_a": F.coalesce(F.get(after, F.lit(0)), F.try_element_at("_all", F.lit(-1)))})
-    come = (F.col("x") - F.col("_b.x"), F.col("y") - F.col("_b.y"))
-    go = (F.col("_a.x") - F.col("x"), F.col("_a.y") - F.col("y"))
-    scale = F.hypot(*come) * F.hypot(*go)
-    cosine = F.try_divide(come[0] * go[0] + come[1] * go[1], scale)
-    angle = F.when(scale == 0, 0.0).otherwise(F.degrees(F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cosine)))))
-    return legs.select(*points.columns, angle.alias("turn_deg"))
+
+    def work(p: pd.DataFrame) -> pd.DataFrame:
+        lon, lat = p["lon"].to_numpy(), p["lat"].to_numpy()
+        return pd.DataFrame({"i": p["i"], "turn_deg": [kernels.turn_at(lon, lat, k, window_km) for k in range(len(lon))]})
+
+    return per_line(points, keys, work, "i int, turn_deg double")
 
 
 def resampled(points: DataFrame, keys: list[str], spacing_km: float = 25.0) -> DataFrame:
     """Points at an even spacing along each line, ends included."""
-    order = _order(keys)
-    base = with_steps(points, keys)
-    total = F.max("along_km").over(Window.partitionBy(*keys))
-    after = base.withColumns({"_far": F.lead("along_km").over(order), "_lon": F.lead("lon").over(order), "_lat": F.lead("lat").over(order), "_total": total})
-    count = F.greatest(F.lit(2), (F.rint(F.col("_total") / spacing_km) + 1).cast("int"))
-    spaced = after.where("_far IS NOT NULL AND _far > along_km").withColumn("_gap", F.col("_total") / (count - 1))
-    first = F.when(F.col("along_km") == 0, 0).otherwise((F.floor(F.col("along_km") / F.col("_gap") + 1e-9) + 1).cast("int"))
-    last = F.floor(F.col("_far") / F.col("_gap") + 1e-9).cast("int")
-    each = spaced.withColumns({"_k0": first, "_k1": last}).where("_k0 <= _k1").withColumn("i", F.explode(F.sequence("_k0", "_k1")))
-    share = F.least(F.lit(1.0), (F.col("i") * F.col("_gap") - F.col("along_km")) / (F.col("_far") - F.col("along_km")))
-    return each.select(*keys, "i", (F.col("lon") + share * (F.col("_lon") - F.col("lon"))).alias("lon"), (F.col("lat") + share * (F.col("_lat") - F.col("lat"))).alias("lat"))
+
+    def work(p: pd.DataFrame) -> pd.DataFrame:
+        lon, lat = kernels.resampled(p["lon"].to_numpy(), p["lat"].to_numpy(), spacing_km)
+        return pd.DataFrame({"i": np.arange(len(lon), dtype=np.int32), "lon": lon, "lat": lat})
+
+    return per_line(points, keys, work, "i int, lon double, lat double")
 
 
 def pinned(points: DataFrame, targets: DataFrame, keys: list[str], taper_km: float = 75.0) -> DataFrame:
     """Move line ends onto targets (keys, at_start, target_lon, target_lat), easing out along the line."""
-    total = F.max("along_km").over(Window.partitionBy(*keys))
-    base = with_steps(points, keys).withColumn("_total", total)
-    ends = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = base.withColumns({"_lon0": F.first("lon").over(ends), "_lat0": F.first("lat").over(ends), "_lon1": F.last("lon").over(ends), "_lat1": F.last("lat").over(ends)}).join(targets, keys)
-    lon_end = F.when(F.col("at_start"), F.col("_lon0")).otherwise(F.col("_lon1"))
-    lat_end = F.when(F.col("at_start"), F.col("_lat0")).otherwise(F.col("_lat1"))
-    taper = F.least(F.lit(taper_km), F.col("_total") / 2)
-    away = F.when(F.col("at_start"), F.col("along_km")).otherwise(F.col("_total") - F.col("along_km"))
-    weight = F.when(away < taper, 0.5 * (1 + F.cos(F.pi() * F.try_divide(away, taper)))).when((away == 0) & (taper == 0), 1.0).otherwise(0.0)
-    goal = geo.near_longitude(F.col("target_lon"), lon_end)
-    return met.select(*keys, "i", (F.col("lon") + weight * (goal - lon_end)).alias("lon"), (F.col("lat") + weight * (F.col("target_lat") - lat_end)).alias("lat"))
-
-
-def projected(queries: DataFrame, points: DataFrame, keys: list[str], line: list[str]) -> DataFrame:
-    """The place on a polyline that is nearest to each query (keys, query, lon, lat).
-
-    Queries meet the segments of the polylines of their ``keys`` only.
-    """
-    order = _order([*keys, *line])
-    segments = points.select(*keys, "i", F.col("lon").alias("lon0"), F.col("lat").alias("lat0"), F.lead("lon").over(order).alias("lon1"), F.lead("lat").over(order).alias("lat1")).where("lon1 IS NOT NULL")
-    met = queries.join(segments, keys)
-    cosine = F.cos(F.radians("lat"))
-    flat = lambda lon, lat: (F.radians(geo.near_longitude(F.col(lon), F.col("lon")) - F.col("lon")) * EARTH * cosine, F.radians(F.col(lat) - F.col("lat")) * EARTH)
-    (e0, n0), (e1, n1) = flat("lon0", "lat0"), flat("lon1", "lat1")
-    de, dn = e1 - e0, n1 - n0
-    size = de * de + dn * dn
-    share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), -(e0 * de + n0 * dn) / F.when(size > 0, size).otherwise(1.0)))
-    near = met.withColumns({"_e": e0 + share * de, "_n": n0 + share * dn})
-    best = near.withColumn("_d", F.col("_e") * F.col("_e") + F.col("_n") * F.col("_n")).groupBy(*keys, "query").agg(F.min(F.struct("_d", "i", "_e", "_n", "lon", "lat")).alias("b"))
-    return best.select(*keys, "query", (F.col("b.lon") + F.degrees(F.col("b._e") / (EARTH * F.cos(F.radians("b.lat"))))).alias("lon"), (F.col("b.lat") + F.degrees(F.col("b._n") / EARTH)).alias("lat"), F.sqrt("b._d").alias("km"))
+
+    def work(p: pd.DataFrame) -> pd.DataFrame:
+        one = p.iloc[0]
+        lon, lat = kernels.moved_end((p["lon"].to_numpy(), p["lat"].to_numpy()), bool(one["at_start"]), (one["target_lon"], one["target_lat"]), taper_km)
+        return pd.DataFrame({"i": p["i"].to_numpy(), "lon": lon, "lat": lat})
+
+    return per_line(points.select(*keys, "i", "lon", "lat").join(targets, keys), keys, work, "i int, lon double, lat double")
+
+
+def projected(queries: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:
+    """The place (lon, lat) on the polyline of its ``keys`` that is nearest to each query (keys, query, lon, lat), and how far (flat km)."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in queries.schema if f.name in [*keys, "query"])
+
+    def work(asked: pd.DataFrame, line: pd.DataFrame) -> pd.DataFrame:
+        line = line.sort_values("i")
+        out = []
+        for q in asked.itertuples() if len(line) > 1 else ():
+            lon, lat = kernels.nearest_on((line["lon"].to_numpy(), line["lat"].to_numpy()), q.lon, q.lat)
+            km = np.hypot((lon - q.lon) * np.cos(np.radians(q.lat)), lat - q.lat) * kernels.KM_PER_DEGREE
+            out.append([*(getattr(q, k) for k in keys), q.query, lon, lat, km])
+        return pd.DataFrame(out, columns=[*keys, "query", "lon", "lat", "km"])
+
+    return queries.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInPandas(work, f"{schema}, lon double, lat double, km double")
 
 
 def nearest(queries: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:
@@ -186,13 +176,18 @@ def masked_mean(value: Column, masked: Column) -> Column:
     return F.coalesce(F.when(F.min(masked.cast("int")) == 1, F.avg(finite)).otherwise(F.avg(F.when(~masked, finite))), F.lit(0.0))
 
 
-def neighbours(cells: DataFrame, keys: list[str], grid) -> DataFrame:
-    """Edges (keys, r, c, r2, c2, km) between marked cells that touch, each once; columns wrap."""
-    offsets = F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in ((0, 1), (1, -1), (1, 0), (1, 1))))
-    asked = cells.select(*keys, "r", "c", F.inline(offsets)).select(*keys, "r", "c", (F.col("r") + F.col("dr")).alias("r2"), F.pmod(F.col("c") + F.col("dc"), F.lit(grid.cols)).alias("c2"))
-    other = cells.select(*keys, F.col("r").alias("r2"), F.col("c").alias("c2"))
-    met = asked.join(other, [*keys, "r2", "c2"])
-    return met.select(*keys, "r", "c", "r2", "c2", geo.haversine_km(grid.lon("c"), grid.lat("r"), grid.lon("c2"), grid.lat("r2")).alias("km"))
+def neighbours(cells: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
+    """Edges (keys, r, c, r2, c2, km) between marked cells that touch, each once; a closed grid's columns wrap."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema if f.name in keys)
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        rows, cols = part["r"].to_numpy(), part["c"].to_numpy()
+        a, b = kernels.touching(rows, cols, grid.cols, grid.closed)
+        lon, lat = grid.west + cols * grid.dlon, grid.north - rows * grid.dlat
+        km = kernels.haversine_km(lon[a], lat[a], lon[b], lat[b])
+        return pd.DataFrame({**{k: [part[k].iloc[0]] * len(a) for k in keys}, "r": rows[a], "c": cols[a], "r2": rows[b], "c2": cols[b], "km": km})
+
+    return cells.groupBy(*keys).applyInPandas(run, f"{schema}, r int, c int, r2 int, c2 int, km double")
 
 
 def interest(pairs: DataFrame, match_km: float = 500.0, weights: tuple[float, float, float] = (4.0, 1.0, 1.0)) -> DataFrame:

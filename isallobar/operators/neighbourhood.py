@@ -33,8 +33,9 @@ def _weighted(value: str, order: Window, weights: list[float]) -> Column:
     return total
 
 
-def smoothed(df: DataFrame, keys: list[str], value: str, grid: Grid, sigma: float = 2.0, periodic: bool = True) -> DataFrame:
-    """Gaussian smoothing: rows wrap on a global grid, columns repeat their end values."""
+def smoothed(df: DataFrame, keys: list[str], value: str, grid: Grid, sigma: float = 2.0) -> DataFrame:
+    """Gaussian smoothing: rows wrap on a closed grid; elsewhere the end values repeat."""
+    periodic = grid.closed
     weights = gaussian_weights(sigma)
     n = len(weights) // 2
     columns = Window.partitionBy(*keys, "c").orderBy("r")
@@ -44,8 +45,10 @@ def smoothed(df: DataFrame, keys: list[str], value: str, grid: Grid, sigma: floa
     return across.where(F.col("c").between(n, n + grid.cols - 1)).withColumn("c", F.col("c") - n) if periodic else across
 
 
-def extremes(df: DataFrame, keys: list[str], value: str, grid: Grid, rows: int, cols: int, names: tuple[str, str] = ("low", "high"), periodic: bool = True) -> DataFrame:
-    """Add the least and greatest value within ``rows`` and ``cols`` cells either side."""
+def extremes(df: DataFrame, keys: list[str], value: str, grid: Grid, rows: int, cols: int, names: tuple[str, str] = ("low", "high")) -> DataFrame:
+    """Add the least and greatest value within ``rows`` and ``cols`` cells either side; a closed grid's rows wrap."""
+    periodic = grid.closed
+    cols = min(cols, grid.cols) if periodic else cols
     low, high = names
     columns = Window.partitionBy(*keys, "c").orderBy("r").rowsBetween(-rows, rows)
     down = df.withColumns({low: F.min(value).over(columns), high: F.max(value).over(columns)})
@@ -72,22 +75,39 @@ def candidates(df: DataFrame, keys: list[str], value: str, grid: Grid, footprint
     return far.where(varied).withColumn("kind", F.explode(kinds)).select(*keys, "kind", "r", "c", value)
 
 
+def _held(place: Column, last: float, clamp: bool) -> Column:
+    """A place on an axis of places 0..last; off it null, or with ``clamp`` the nearer end."""
+    return F.when(place.isNotNull(), F.least(F.greatest(place, F.lit(0.0)), F.lit(last))) if clamp else F.when(place.between(0.0, last), place)
+
+
+def row_place(lat: Column, grid: Grid, clamp: bool = False) -> Column:
+    """Place of a latitude among a grid's rows, fractions included."""
+    return _held((grid.north - lat) / grid.dlat, grid.rows - 1.0, clamp)
+
+
+def column_place(lon: Column, grid: Grid, clamp: bool = False) -> Column:
+    """Place of a longitude among a grid's columns; beyond the last of an open grid the nearer edge is meant."""
+    x = F.pmod(lon - grid.west, F.lit(360.0)) / grid.dlon
+    if grid.closed:
+        return x
+    turn = 360.0 / grid.dlon
+    return _held(F.when(x > (grid.cols - 1 + turn) / 2, x - turn).otherwise(x), grid.cols - 1.0, clamp)
+
+
 def sampled(points: DataFrame, field: DataFrame, keys: list[str], grid: Grid, values: dict[str, str], clamp: bool = False) -> DataFrame:
     """Add bilinear values of fields to points with ``point``, ``lon`` and ``lat``.
 
-    ``values`` gives the new column for each column of ``field``.  Longitudes wrap.
-    Latitudes off the grid give null, or with ``clamp`` the edge value.  Each point meets
+    ``values`` gives the new column for each column of ``field``.  Longitudes wrap on a closed grid.
+    Places off the grid give null, or with ``clamp`` the edge value.  Each point meets
     its four corner cells in one equi-join, for all values at once.
     """
-    x = F.pmod(F.col("lon"), F.lit(360.0)) / grid.dlon
-    y = (90.0 - F.col("lat")) / grid.dlat
-    y = F.when(y.isNotNull(), F.least(F.greatest(y, F.lit(0.0)), F.lit(float(grid.rows - 1)))) if clamp else F.when(y.between(0.0, grid.rows - 1.0), y)
-    placed = points.withColumns({"_x": x, "_y": y})
-    r0, c0 = F.least(F.floor("_y"), F.lit(grid.rows - 2)).cast("int"), F.floor("_x").cast("int")
+    placed = points.withColumns({"_x": column_place(F.col("lon"), grid, clamp), "_y": row_place(F.col("lat"), grid, clamp)})
+    r0 = F.least(F.floor("_y"), F.lit(grid.rows - 2)).cast("int")
+    c0 = (F.floor("_x") if grid.closed else F.least(F.floor("_x"), F.lit(grid.cols - 2))).cast("int")
     fr, fc = F.col("_y") - r0, F.col("_x") - c0
     corner = lambda dr, dc, w: F.struct((r0 + dr).alias("r"), F.pmod(c0 + dc, F.lit(grid.cols)).cast("int").alias("c"), w.alias("w"))
     corners = F.array(corner(0, 0, (1 - fr) * (1 - fc)), corner(0, 1, (1 - fr) * fc), corner(1, 0, fr * (1 - fc)), corner(1, 1, fr * fc))
-    spread = placed.where(F.col("_y").isNotNull()).select(*keys, "point", F.inline(corners))
+    spread = placed.where(F.col("_y").isNotNull() & F.col("_x").isNotNull()).select(*keys, "point", F.inline(corners))
     met = spread.join(field.select(*keys, "r", "c", *(F.col(v).alias(f"_{v}") for v in values)), [*keys, "r", "c"])
     found = met.groupBy(*keys, "point").agg(*(F.sum(F.col("w") * F.col(f"_{v}")).alias(name) for v, name in values.items()))
     return points.join(found, [*keys, "point"], "left")

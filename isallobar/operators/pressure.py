@@ -7,9 +7,6 @@ candidates (one field at a time) run in grouped functions.
 
 from __future__ import annotations
 
-import json
-import os
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -89,7 +86,7 @@ def isobars(df: DataFrame, keys: list[str], value: str, grid: Grid, interval: fl
     small = Grid(-(-grid.rows // stride), -(-grid.cols // stride))
     dlat, dlon = grid.dlat * stride, grid.dlon * stride
     pad = max(1, round(PAD_DEGREES / dlon))
-    pad = pad if pad < small.cols else 0
+    pad = pad if grid.closed and pad < small.cols else 0
     width = small.cols + 2 * pad
     found = crossings(coarse, keys, value, small, interval, pad)
     flat = found.select(*keys, "level", *(F.col(f"{e}.{n}").alias(f"{e}_{n}") for e in "ab" for n in ("edge", "x", "y")))
@@ -102,14 +99,12 @@ def isobars(df: DataFrame, keys: list[str], value: str, grid: Grid, interval: fl
         level, out = float(part["level"].iloc[0]), []
         for chain in kernels.linked(list(zip(part["a_edge"].tolist(), part["b_edge"].tolist(), strict=True))):
             xy = np.array([spot[e] for e in chain])
-            around = xy[:, 0].min() <= 1.0 and xy[:, 0].max() >= width - 2.0
+            around = pad and xy[:, 0].min() <= 1.0 and xy[:, 0].max() >= width - 2.0
             if pad and xy[:, 0].min() < pad and not around:
                 continue  # its copy beyond the other edge is kept
             closed = chain[0] == chain[-1]
-            points = kernels.simplified(np.column_stack([(xy[:, 0] - pad) * dlon, 90.0 - xy[:, 1] * dlat]), tolerance)
-            step = np.diff(points, axis=0)
-            arc = np.hypot(step[:, 0] * np.cos(np.radians(points[:-1, 1])), step[:, 1]).sum()
-            if len(points) < (4 if closed else 2) or arc < LEAST_ARC:
+            points = kernels.simplified(np.column_stack([grid.west + (xy[:, 0] - pad) * dlon, grid.north - xy[:, 1] * dlat]), tolerance)
+            if len(points) < (4 if closed else 2) or kernels.arc_degrees(*points.T) < LEAST_ARC:
                 continue
             points[:, 0] += (points[0, 0] + 180.0) % 360.0 - 180.0 - points[0, 0]
             points = points.round(2)
@@ -147,9 +142,9 @@ def centres(df: DataFrame, keys: list[str], value: str, grid: Grid, surface: Dat
             whole[field["r"], field["c"]] = field[value]
         for kind in ("L", "H") if len(picked) else ():
             own = picked[picked["kind"] == kind].sort_values(["r", "c"])
-            good = [kernels.stands_out(*kernels.window_of(whole, r, c, rows, cols, True), kind == "L", prominence) for r, c in zip(own["r"], own["c"], strict=True)]
+            good = [kernels.stands_out(*kernels.window_of(whole, r, c, rows, cols, grid.closed), kind == "L", prominence) for r, c in zip(own["r"], own["c"], strict=True)]
             own = own[np.array(good, bool)] if len(own) else own
-            lon, lat, v = own["c"].to_numpy() * grid.dlon, 90.0 - own["r"].to_numpy() * grid.dlat, own[value].to_numpy()
+            lon, lat, v = grid.west + own["c"].to_numpy() * grid.dlon, grid.north - own["r"].to_numpy() * grid.dlat, own[value].to_numpy()
             strength = STANDARD_HPA - v if kind == "L" else v - STANDARD_HPA
             for rank, k in enumerate(kernels.spaced_out(lon, lat, strength, separation_km)):
                 x = round((lon[k] + 180.0) % 360.0 - 180.0, 2)
@@ -183,14 +178,3 @@ def layer_text(features: DataFrame, keys: list[str], valid_time: Column | None =
     ordered = features.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "within", "feature"))), lambda x: x["feature"]).alias("all"))
     head = F.coalesce(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), (valid_time if valid_time is not None else F.lit(None).cast("string")).alias("valid_time")), {"ignoreNullFields": "false"}), F.lit("{}"))
     return ordered.select(*keys, F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"features":['), F.array_join("all", ","), F.lit("]}")).alias("geojson"))
-
-
-def write_text(text: str, path: str) -> None:
-    """Write a small product beside its store: a temporary file, then one rename."""
-    with open(f"{path}.tmp", "w", encoding="utf-8") as file:
-        file.write(text)
-    os.replace(f"{path}.tmp", path)
-
-
-def compact(value: object) -> str:
-    return json.dumps(value, separators=(",", ":"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isallobar.plans.manifest import ModelManifest
+from isallobar.plans.manifest import Model
 
 LEVELS = 6
 # Packed numbers are probability * 254; 255 stands for a missing value.
@@ -17,7 +18,7 @@ CHUNK = 128
 PACK_VARIABLE = "ISALLOBAR_PACK_UINT8"
 
 
-def level0(probabilities: DataFrame, manifest: ModelManifest) -> DataFrame:
+def level0(probabilities: DataFrame, manifest: Model) -> DataFrame:
     """Served classes as floats; classes that are missing or too many are an error at run time.
 
     The set of classes is checked by one aggregate over (cls), partially aggregated.
@@ -32,14 +33,21 @@ def mean_pyramid(level_0: DataFrame, keys: list[str], levels: int = LEVELS) -> D
     """Rows (keys, level, r, c, p): each level is the mean of two by two cells of the one before.
 
     Blocks at an odd edge average the cells that exist; missing values are left out.  Every
-    level is made from the one before, so the work shrinks fourfold with each.
+    level is made from the one before, so the work shrinks fourfold with each.  The four cells
+    are added in a fixed order, so a mean does not depend on how rows are dealt to tasks.
     """
     if levels < 1:
         raise ValueError(f"a pyramid has at least one level, not {levels}")
     now = level_0.select(*keys, "r", "c", F.col("p").cast("double").alias("p"))
     out = now.withColumn("level", F.lit(0))
+    corners = [(0, 0), (0, 1), (1, 0), (1, 1)]
     for k in range(1, levels):
-        now = now.groupBy(*keys, (F.col("r") / 2).cast("int").alias("r"), (F.col("c") / 2).cast("int").alias("c")).agg(F.avg("p").alias("p"))
+        cells = [F.max(F.when((F.col("r") % 2 == a) & (F.col("c") % 2 == b), F.col("p"))).alias(f"_{a}{b}") for a, b in corners]
+        four = now.groupBy(*keys, F.shiftright("r", 1).alias("_r"), F.shiftright("c", 1).alias("_c")).agg(*cells)
+        there = [F.col(f"_{a}{b}") for a, b in corners]
+        total = functools.reduce(lambda x, y: x + y, (F.coalesce(x, F.lit(0.0)) for x in there))
+        count = functools.reduce(lambda x, y: x + y, (x.isNotNull().cast("int") for x in there))
+        now = four.select(*keys, F.col("_r").alias("r"), F.col("_c").alias("c"), F.when(count > 0, total / count).alias("p"))
         out = out.unionByName(now.withColumn("level", F.lit(k)))
     return out
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from isallobar.operators import assemble
 from isallobar.operators.grid import Grid, channels_negated, circular_pad, flipped, padded_size, spliced, zero_pad
-from isallobar.plans.manifest import ModelManifest
+from isallobar.plans.manifest import Model
 
 
 class Predictor(Protocol):
@@ -59,15 +59,22 @@ class OnnxPredictor:
 class Volumetric:
     """Gives a predictor levels of variables (n, p, p, levels, variables) instead of flat channels."""
 
-    def __init__(self, inner: Predictor, manifest: ModelManifest) -> None:
-        self.inner, self.levels, self.variables = inner, len(manifest.levels or ()), len(manifest.on_levels)
+    def __init__(self, inner: Predictor, manifest: Model) -> None:
+        self.inner, self.levels, self.variables = inner, len(manifest.levels), len(manifest.layered)
 
-    def predict_batch(self, patches: np.ndarray) -> np.ndarray:
+    def volume(self, channels: np.ndarray) -> np.ndarray:
+        """Flat channels (last axis) as levels of variables; single-level values repeat at every level."""
         split = self.levels * self.variables
-        shape = patches.shape[:-1]
-        volume = patches[..., :split].reshape(*shape, self.levels, self.variables)
-        single = np.repeat(patches[..., None, split:], self.levels, axis=-2)
-        return self.inner.predict_batch(np.concatenate([volume, single], axis=-1))
+        layered = channels[..., :split].reshape(*channels.shape[:-1], self.levels, self.variables)
+        return np.concatenate([layered, np.repeat(channels[..., None, split:], self.levels, axis=-2)], axis=-1)
+
+    def predict_batch(self, patches: np.ndarray) -> np.ndarray:
+        return self.inner.predict_batch(self.volume(patches))
+
+
+def selected(found: np.ndarray, served: Sequence[int]) -> np.ndarray:
+    """The served classes of predictions (classes last), in the order in which they are served."""
+    return np.asarray(found)[..., list(served)]
 
 
 def tile_starts(size: int, patch: int, overlap: int, multiple: int = 16) -> list[int]:
@@ -142,14 +149,14 @@ def predicted(tiled: DataFrame, keys: list[str], predictor: Predictor, patch: in
             raise ValueError("a tile does not have a row for each of its cells")
         stack = np.stack([np.stack(t["channels"].to_numpy()).astype(float).reshape(patch, patch, -1) for t in tiles])
         for tile, found in zip(tiles, predictor.predict_batch(stack), strict=True):
-            kept = np.asarray(found)[..., list(served)].reshape(patch * patch, -1)
+            kept = selected(found, served).reshape(patch * patch, -1)
             out.append(tile[[*keys, "r", "c", "weight"]].assign(probabilities=list(kept)))
         return pd.concat(out)
 
     return tiled.withColumn("_batch", (F.col("tile_id") / batch).cast("int")).groupBy(*keys, "_batch").applyInPandas(run, schema)
 
 
-def single_pass(inputs: DataFrame, keys: list[str], grid: Grid, manifest: ModelManifest, predict: Callable[[DataFrame], DataFrame], patch: int, overlap: int, channels: int) -> DataFrame:
+def single_pass(inputs: DataFrame, keys: list[str], grid: Grid, manifest: Model, predict: Callable[[DataFrame], DataFrame], patch: int, overlap: int, channels: int) -> DataFrame:
     """One tiled pass over cells with ``channels``: pad, tile, predict, blend, crop.
 
     ``predict`` turns tiled cells into (keys, r, c, weight, probabilities of served classes).
@@ -167,13 +174,13 @@ def single_pass(inputs: DataFrame, keys: list[str], grid: Grid, manifest: ModelM
     return blended.withColumn("c", F.col("c") - overlap)
 
 
-def tiled_inference(inputs: DataFrame, keys: list[str], grid: Grid, manifest: ModelManifest, predictor: Predictor | None = None, patch: int = 256, overlap: int = 96, batch: int = 8, predict: Callable[[DataFrame], DataFrame] | None = None, two_pass: bool = True) -> DataFrame:
+def tiled_inference(inputs: DataFrame, keys: list[str], grid: Grid, manifest: Model, predictor: Predictor | None = None, patch: int = 256, overlap: int = 96, batch: int = 8, predict: Callable[[DataFrame], DataFrame] | None = None, two_pass: bool = True) -> DataFrame:
     """Class probabilities (keys, r, c, cls, p) of assembled inputs.
 
     The southern half comes from a second pass over the field with its meridional winds turned
     and its rows reversed, so that it looks like a northern one.
     """
-    n = manifest.n_channels
+    n = len(manifest.channels())
     chosen = predict or (lambda tiled: predicted(tiled, keys, predictor, patch, manifest.served_indices(), batch))
     north = single_pass(inputs, keys, grid, manifest, chosen, patch, overlap, n)
     if not two_pass:

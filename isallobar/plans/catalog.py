@@ -40,10 +40,10 @@ def targets(run_hour: Column) -> Column:
 
 
 def stores(listing: DataFrame) -> DataFrame:
-    """(model, cycle, step, store) of listed names that are stores with a lead time."""
-    parsed = listing.withColumn("s", names.parsed_store(F.col("name"))).where("s IS NOT NULL")
-    cycle = F.timestamp_add("HOUR", F.col("s.hour"), F.to_timestamp("s.date", "yyyy-MM-dd"))
-    return parsed.select("model", cycle.alias("cycle"), F.col("s.step").alias("step"), F.col("name").alias("store"))
+    """(model, cycle, step, store) of listed names that are stores with a lead time; impossible times are left out."""
+    parsed = listing.withColumn("s", names.parsed_store(F.col("name"))).where("s.hour < 24")
+    cycle = F.timestamp_add("HOUR", F.col("s.hour"), F.try_to_timestamp("s.date", F.lit("yyyy-MM-dd")))
+    return parsed.select("model", cycle.alias("cycle"), F.col("s.step").alias("step"), F.col("name").alias("store")).where("cycle IS NOT NULL")
 
 
 def newest_cycles(present: DataFrame) -> DataFrame:
@@ -51,18 +51,26 @@ def newest_cycles(present: DataFrame) -> DataFrame:
     return present.groupBy("model").agg(F.max("cycle").alias("cycle"))
 
 
-def missing_steps(present: DataFrame, cycles: DataFrame) -> DataFrame:
-    """Target steps (model, cycle, step) that are not stored yet: a left anti join."""
-    wanted = cycles.select("model", "cycle", F.explode(targets(F.hour("cycle"))).alias("step"))
-    return wanted.join(present.select("model", "cycle", "step"), ["model", "cycle", "step"], "left_anti")
+def _stored(present: DataFrame, cycles: DataFrame | None) -> DataFrame:
+    """(model, cycle, steps, missing): what is stored of each cycle, and which of its target steps are not.
+
+    A cycle's steps are gathered in one row; names leave room for a thousand at most.  Without
+    ``cycles`` those that have any store are meant, and a single shuffle does.
+    """
+    has = present.groupBy("model", "cycle").agg(F.collect_set("step").alias("steps"))
+    if cycles is not None:
+        has = cycles.join(has, ["model", "cycle"], "left").withColumn("steps", F.coalesce("steps", F.array().cast("array<int>")))
+    return has.withColumn("missing", F.array_except(targets(F.hour("cycle")), "steps"))
+
+
+def missing_steps(present: DataFrame, cycles: DataFrame | None = None) -> DataFrame:
+    """Target steps (model, cycle, step) that are not stored yet, of the cycles given or of all that have a store."""
+    return _stored(present, cycles).select("model", "cycle", F.explode("missing").alias("step"))
 
 
-def completeness(present: DataFrame, cycles: DataFrame) -> DataFrame:
-    """(model, cycle, present, missing, complete) of cycles."""
-    lacks = missing_steps(present, cycles).groupBy("model", "cycle").agg(F.count("*").alias("missing"))
-    has = present.groupBy("model", "cycle").agg(F.count_distinct("step").alias("present"))
-    joined = cycles.join(has, ["model", "cycle"], "left").join(lacks, ["model", "cycle"], "left")
-    return joined.select("model", "cycle", F.coalesce("present", F.lit(0)).alias("present"), F.coalesce("missing", F.lit(0)).alias("missing"), F.col("missing").isNull().alias("complete"))
+def completeness(present: DataFrame, cycles: DataFrame | None = None) -> DataFrame:
+    """(model, cycle, present, missing, complete) of the cycles given or of all that have a store."""
+    return _stored(present, cycles).select("model", "cycle", F.size("steps").alias("present"), F.size("missing").alias("missing"), (F.size("missing") == 0).alias("complete"))
 
 
 def newest_published(available: DataFrame, now: Column, tries: int = 4) -> DataFrame:
@@ -73,13 +81,14 @@ def newest_published(available: DataFrame, now: Column, tries: int = 4) -> DataF
 
 
 def expired(listing: DataFrame, today: Column, days: int) -> DataFrame:
-    """Stores and side files whose name bears a date more than ``days`` before today.
+    """Stores, side files and side folders whose name bears a date more than ``days`` before today.
 
     Only names with the known layouts count; the pointer and everything else stay.
     """
     if days < 0:
         raise ValueError(f"files cannot be kept for {days} days")
-    date = F.when(F.col("is_folder"), names.embedded_date(F.col("name"), names.STORE)).otherwise(names.embedded_date(F.col("name"), names.SIDE_FILE))
+    folder = F.coalesce(names.embedded_date(F.col("name"), names.STORE), names.embedded_date(F.col("name"), names.SIDE_FOLDER))
+    date = F.when(F.col("is_folder"), folder).otherwise(names.embedded_date(F.col("name"), names.SIDE_FILE))
     return listing.withColumn("date", date).where(F.col("date") < F.date_sub(today, days)).select("model", "name", "date")
 
 

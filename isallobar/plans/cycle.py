@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import argparse
+import functools
 import json
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
@@ -17,7 +19,7 @@ from isallobar.operators import assemble, fronts, pressure, pyramid, tiling
 from isallobar.operators.fronts import Settings
 from isallobar.operators.grid import Grid, rolled_to_signed
 from isallobar.plans import catalog
-from isallobar.plans.manifest import STATIC, ModelManifest, get_manifest
+from isallobar.plans.manifest import STATIC, Model, get_model, on
 from isallobar.sources.fields import GridSource
 from isallobar.sources.storage import Storage
 
@@ -28,8 +30,9 @@ log = logging.getLogger(__name__)
 class ModelRun:
     """A model and how it is run."""
 
-    manifest: ModelManifest
+    manifest: Model
     predictor: tiling.Predictor
+    device: str | None = None
     patch: int = 256
     overlap: int = 96
     batch: int = 8
@@ -71,20 +74,19 @@ class Cycle:
 def model_inputs(run: ModelRun, source: GridSource, step: int) -> DataFrame:
     """Assembled inputs (step, r, c, channels) of one step; base variables are read once."""
     m = run.manifest
-    base = {v.name for v in m.variables if v.name not in STATIC}
+    base = set(m.names) - set(STATIC)
     derived = {"equivalent_potential_temperature": {"temperature", "specific_humidity"}, "potential_vorticity": {"temperature", "u_component_of_wind", "v_component_of_wind"}}
     for name, needs in derived.items():
         if name in base:
             base = base - {name} | needs
-    fixed = [v.name for v in m.variables if v.name in STATIC]
-    fields = source.fields(sorted(base), list(m.levels or ()), [step])
+    fixed = [v for v in m.names if v in STATIC]
+    fields = source.fields(sorted(base), list(m.levels), [step])
     return assemble.assemble(fields, m, ["step"], source.grid, source.static(fixed) if fixed else None)
 
 
 def run_step(run: ModelRun, source: GridSource, cycle: Cycle, folder: str) -> str:
     """Infer one step and write its pyramid; the store gets its name once it is whole."""
-    spark = source.static(["x"]).sparkSession
-    storage, grid = Storage(spark), source.grid
+    storage, grid = Storage(source.spark), source.grid
     inputs = model_inputs(run, source, cycle.step).persist()
     try:
         found = tiling.tiled_inference(inputs, ["step"], grid, run.manifest, run.predictor, run.patch, run.overlap, run.batch)
@@ -107,72 +109,103 @@ def run_step(run: ModelRun, source: GridSource, cycle: Cycle, folder: str) -> st
 
 
 def write_pressure(source: GridSource, cycle: Cycle, folder: str) -> str | None:
-    """Write a step's isobars and centres; a failure is logged and gives None."""
+    """Write a step's isobars and centres; a failure is logged and gives None.
+
+    The pressure of the ground only drops centres over high terrain: without it there are more.
+    """
     name = cycle.store.removesuffix(".zarr") + names.SUFFIXES["pressure"]
-    spark = source.static(["x"]).sparkSession
-    if Storage(spark).exists(f"{folder}/{name}"):
+    storage = Storage(source.spark)
+    if storage.exists(f"{folder}/{name}"):
         return name
+    kept = []
     try:
         hpa = source.single("mean_sea_level_pressure", cycle.step).select("r", "c", physics.to_hpa(F.col("v")).alias("v"), F.lit(0).alias("f")).persist()
-        ground = source.single("surface_pressure", cycle.step).select("r", "c", physics.to_hpa(F.col("v")).alias("surface"), F.lit(0).alias("f"))
+        kept.append(hpa)
+        pressure.checked_field(hpa, ["f"], "v", source.grid)
+        ground = None
+        try:
+            ground = source.single("surface_pressure", cycle.step).select("r", "c", physics.to_hpa(F.col("v")).alias("surface"), F.lit(0).alias("f")).persist()
+            ground.count()
+            kept.append(ground)
+        except Exception:
+            log.exception("centres of %s are placed without the pressure of the ground", cycle.store)
+            ground = None
         lines = pressure.isobars(hpa, ["f"], "v", source.grid)
         points = pressure.centres(hpa, ["f"], "v", source.grid, ground)
         features = pressure.pressure_layer(lines, points, ["f"]).orderBy("place", "within").select("feature").collect()  # one field's lines
         head = json.dumps({"type": "FeatureCollection", "valid_time": cycle.valid_time}, separators=(",", ":"))[:-1]
-        Storage(spark).write_text(f"{folder}/{name}", f'{head},"features":[{",".join(r.feature for r in features)}]}}')
-        hpa.unpersist()
+        storage.write_text(f"{folder}/{name}", f'{head},"features":[{",".join(r.feature for r in features)}]}}')
     except Exception:
         log.exception("no pressure layer for %s", cycle.store)
         return None
+    finally:
+        for df in kept:
+            df.unpersist()
     return name
 
 
+def traced(spark: SparkSession, folder: str, entry: dict, grid: Grid, settings: Settings) -> str:
+    """The folder with a step's front points; the step is traced if it is not there yet."""
+    storage, side = Storage(spark), f"{folder}/{entry['store'].removesuffix('.zarr')}"
+    path = f"{side}.points"
+    if not storage.exists(path):
+        if storage.exists(f"{side}.probs"):
+            cells = spark.read.parquet(f"{side}.probs")
+        else:
+            half = grid.cols // 2
+            cells = pyramid.read_level0(spark, f"{folder}/{entry['store']}").withColumn("c", F.pmod(F.col("c") + half, F.lit(grid.cols)).cast("int"))
+        one = cells.select(F.lit(0).alias("cycle"), F.lit(entry["step_hours"]).alias("step"), "r", "c", "cls", F.col("p").cast("double").alias("p"))
+        fronts.front_points(one, ["cycle", "step"], grid, settings).write.mode("overwrite").parquet(f"{path}.draft")
+        storage.move(f"{path}.draft", path)
+    return path
+
+
 def write_fronts(spark: SparkSession, folder: str, steps: Sequence[dict], grid: Grid, settings: Settings = Settings()) -> dict[str, str]:
-    """Write front lines of all steps of a cycle; a step that cannot be read is left out.
+    """Write front lines of a cycle's steps; a step that cannot be read is left out.
 
-    All steps are traced in one plan, so ids agree over the cycle; each good step is tracked
-    against the last good one before it.  Returns file names by store.
+    Each step is traced once, its points are kept beside its store.  Tracking reads the points of
+    all steps in one scan, so ids agree over the cycle; each good step is tracked against the
+    last good one before it.  Files are written from the first step on that has none or comes
+    after one that was traced just now: those before cannot have changed.  Returns file names by store.
     """
-    storage, frames, airs, good = Storage(spark), [], [], []
+    storage = Storage(spark)
+    paths, good, changed = [], [], None
     for entry in sorted(steps, key=lambda e: e["step_hours"]):
-        store, side = f"{folder}/{entry['store']}", f"{folder}/{entry['store'].removesuffix('.zarr')}"
+        stem = entry["store"].removesuffix(".zarr")
+        known = storage.exists(f"{folder}/{stem}.points") and storage.exists(f"{folder}/{stem}{names.SUFFIXES['fronts']}")
         try:
-            if storage.exists(f"{side}.probs"):
-                one = spark.read.parquet(f"{side}.probs")
-            else:
-                level0 = pyramid.read_level0(spark, store)
-                half = grid.cols // 2
-                one = level0.select("cls", "r", F.pmod(F.col("c") + half, F.lit(grid.cols)).cast("int").alias("c"), "p")
-            one.limit(1).count()
+            paths.append(traced(spark, folder, entry, grid, settings))
         except Exception:
             log.exception("front lines of %s are left out", entry["store"])
             continue
         good.append(entry)
-        frames.append(one.select(F.lit(0).alias("cycle"), F.lit(entry["step_hours"]).alias("step"), "r", "c", "cls", F.col("p").cast("double").alias("p")))
-        if storage.exists(f"{side}.fields"):
-            airs.append(spark.read.parquet(f"{side}.fields").select(F.lit(0).alias("cycle"), F.lit(entry["step_hours"]).alias("step"), "r", F.pmod(F.col("lon"), F.lit(360.0)).alias("lon"), "temperature", "u", "v"))
-    if not frames:
-        return {}
-    union = lambda parts: parts[0] if len(parts) == 1 else union([parts[0].unionByName(parts[1]), *parts[2:]])
+        if not known and changed is None:
+            changed = entry["step_hours"]
+    out = {e["store"]: e["store"].removesuffix(".zarr") + names.SUFFIXES["fronts"] for e in good}
+    if changed is None:
+        return out
+    keys = ["cycle", "step"]
+    points = spark.read.parquet(*paths).persist()
     known = spark.createDataFrame([(0, e["step_hours"]) for e in good], "cycle int, step int")
+    sides = [(e, f"{folder}/{e['store'].removesuffix('.zarr')}.fields") for e in good]
+    held = [(e, path) for e, path in sides if storage.exists(path)]
     air, air_grid = None, grid
-    if airs:
+    if held:
         stride = 2 if min(grid.rows, grid.cols) >= 200 else 1
         air_grid = Grid(-(-grid.rows // stride), -(-grid.cols // stride))
-        air = union(airs).withColumn("c", F.rint(F.col("lon") / air_grid.dlon).cast("int"))
-    keys = ["cycle", "step"]
-    points = fronts.front_points(union(frames), keys, grid, settings).persist()
-    sides = fronts.symbol_sides(points, keys, air_grid, settings, air, fronts.with_previous(points, known, ["cycle"]))
+        each = [spark.read.parquet(path).select(F.lit(0).alias("cycle"), F.lit(e["step_hours"]).alias("step"), "r", F.rint(F.pmod(F.col("lon"), F.lit(360.0)) / air_grid.dlon).cast("int").alias("c"), "temperature", "u", "v") for e, path in held]
+        air = functools.reduce(DataFrame.unionByName, each)
+    late = F.col("step") >= changed
+    wanted = points.where(late)
+    arrows = fronts.symbol_sides(wanted, keys, air_grid, settings, air, fronts.with_previous(points, known, ["cycle"]).where(late))
     events = fronts.tracked(points, known, ["cycle"], settings)
-    by_step: dict[int, list[str]] = {e["step_hours"]: [] for e in good}
-    for r in fronts.front_features(points, sides, events, keys).orderBy("step", "front", "place").select("step", "feature").toLocalIterator():
+    by_step: dict[int, list[str]] = {e["step_hours"]: [] for e in good if e["step_hours"] >= changed}
+    for r in fronts.front_features(wanted, arrows, events, keys).orderBy("step", "front", "place").select("step", "feature").toLocalIterator():
         by_step[r.step].append(r.feature)
-    out = {}
     for entry in good:
-        name = entry["store"].removesuffix(".zarr") + names.SUFFIXES["fronts"]
-        head = json.dumps({"type": "FeatureCollection", "valid_time": entry["valid_time"], "oriented": bool(airs)}, separators=(",", ":"))[:-1]
-        storage.write_text(f"{folder}/{name}", f'{head},"features":[{",".join(by_step[entry["step_hours"]])}]}}')
-        out[entry["store"]] = name
+        if entry["step_hours"] in by_step:
+            head = json.dumps({"type": "FeatureCollection", "valid_time": entry["valid_time"], "oriented": bool(held)}, separators=(",", ":"))[:-1]
+            storage.write_text(f"{folder}/{out[entry['store']]}", f'{head},"features":[{",".join(by_step[entry["step_hours"]])}]}}')
     points.unpersist()
     return out
 
@@ -185,30 +218,43 @@ def publish(storage: Storage, folder: str, cycle: Cycle, steps: Sequence[dict],
 def run_cycle(runs: Sequence[ModelRun], source: GridSource, date: str, hour: int, root: str, steps: Sequence[int] | None = None) -> dict[str, list[str]]:
     """Run every model over every step; steps that are stored are skipped, steps that fail are left out.
 
+    Models on different devices run at the same time, models that share one after the other.
     The pointer is written after each step, so readers see a cycle grow, and a cycle without a
     single good step never replaces the one before.
     """
-    spark = source.static(["x"]).sparkSession
+    spark = source.spark
     storage = Storage(spark)
     wanted = tuple(steps if steps is not None else catalog.target_steps(hour))
     entries: dict[str, list[dict]] = {r.manifest.name: [] for r in runs}
-    for step in wanted:
-        cycle = Cycle(date, hour, step)
-        for run in runs:
-            folder = f"{root}/{run.manifest.name}"
-            try:
-                if not storage.exists(f"{folder}/{cycle.store}"):
-                    run_step(run, source, cycle, folder)
-            except Exception:
-                log.exception("%s fails at step %s, which is left out", run.manifest.name, step)
-                continue
-            own = entries[run.manifest.name]
-            own.append({"step_hours": step, "valid_time": cycle.valid_time, "store": cycle.store})
-            if run.pressure and (name := write_pressure(source, cycle, folder)):
-                own[-1]["pressure"] = name
-            if run.fronts:
-                attach_fronts(spark, folder, own, source.grid, run.settings)
-            publish(storage, folder, cycle, own, wanted)
+
+    def one(run: ModelRun, cycle: Cycle) -> dict | None:
+        folder = f"{root}/{run.manifest.name}"
+        try:
+            if not storage.exists(f"{folder}/{cycle.store}"):
+                run_step(run, source, cycle, folder)
+        except Exception:
+            log.exception("%s fails at step %s, which is left out", run.manifest.name, cycle.step)
+            return None
+        return {"step_hours": cycle.step, "valid_time": cycle.valid_time, "store": cycle.store}
+
+    with ThreadPoolExecutor(max_workers=max(1, len({r.device for r in runs}))) as pool:
+        for step in wanted:
+            cycle = Cycle(date, hour, step)
+            by_device: dict[str | None, list[ModelRun]] = {}
+            for run in runs:
+                by_device.setdefault(run.device, []).append(run)
+            found = pool.map(lambda own, cycle=cycle: [(run, one(run, cycle)) for run in own], by_device.values())
+            done = {run.manifest.name: entry for own in found for run, entry in own}
+            for run in runs:
+                if (entry := done[run.manifest.name]) is None:
+                    continue
+                folder, own = f"{root}/{run.manifest.name}", entries[run.manifest.name]
+                own.append(entry)
+                if run.pressure and (name := write_pressure(source, cycle, folder)):
+                    entry["pressure"] = name
+                if run.fronts:
+                    attach_fronts(spark, folder, own, source.grid, run.settings)
+                publish(storage, folder, cycle, own, wanted)
     return {m: [f"{root}/{m}/{e['store']}" for e in own] for m, own in entries.items() if own}
 
 
@@ -242,13 +288,15 @@ def backfill_fronts(spark: SparkSession, root: str, grid: Grid, settings: Settin
 
 def rebuild_air(run: ModelRun, source: GridSource, folder: str, steps: Sequence[dict]) -> int:
     """Write the 850 hPa temperature and winds of steps that lack them, from three channels only."""
-    storage = Storage(source.static(["x"]).sparkSession)
+    storage = Storage(source.spark)
     wanted = ("equivalent_potential_temperature", "u_component_of_wind", "v_component_of_wind")
-    small = ModelManifest("air", "", tuple(type(v)(v.name, (850,)) for v in run.manifest.on_levels if v.name in wanted))
+    if not set(wanted) <= set(run.manifest.layered):
+        return 0
+    small = Model("air", "", on((850,), *(v for v in run.manifest.layered if v in wanted)))
     made = 0
     for entry in steps:
         side = f"{folder}/{entry['store'].removesuffix('.zarr')}.fields"
-        if len(small.variables) == len(wanted) and not storage.exists(side):
+        if not storage.exists(side):
             inputs = model_inputs(ModelRun(small, run.predictor), source, entry["step_hours"])
             assemble.orientation_fields(inputs, small, source.grid).write.mode("overwrite").parquet(side)
             made += 1
@@ -288,31 +336,82 @@ def requantize(spark: SparkSession, root: str, to: str, prune_stale: bool = Fals
     return out
 
 
-def main(argv: Sequence[str] | None = None) -> int:
-    """Run one cycle over staged fields: the newest one that is old enough, or the one named."""
+def prune_cache(spark: SparkSession, path: str, today: datetime, days: int) -> list[str]:
+    """Delete downloaded files past their time, by the date in their names; returns what was deleted."""
+    storage = Storage(spark)
+    listed = spark.createDataFrame([(n, folder) for n, folder, _ in storage.names(path)], "name string, is_folder boolean")
+    gone = [r.name for r in catalog.expired_cache(listed, F.lit(today.date()), days).orderBy("name").collect()]  # names in one folder
+    for name in gone:
+        storage.delete(f"{path}/{name}")
+    return gone
+
+
+def pending_cycle(spark: SparkSession, available: DataFrame, models: Sequence[str], root: str, now: datetime) -> tuple[str, int] | None:
+    """The newest published cycle of the last day (date, hour), unless every model has all its steps.
+
+    ``available`` has (cycle, step); older cycles that were missed are not caught up with.
+    """
+    found = catalog.newest_published(available, F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")).first()
+    if found is None:
+        log.info("no cycle of the last day is published")
+        return None
+    date, hour = found.cycle.strftime("%Y-%m-%d"), found.cycle.hour
+    wanted = spark.createDataFrame([(m, f"{date} {hour:02d}") for m in models], "model string, at string").select("model", F.to_timestamp("at", "yyyy-MM-dd HH").alias("cycle"))
+    present = catalog.stores(Storage(spark).table(root))
+    if not catalog.completeness(present, wanted).where(~F.col("complete")).limit(1).count():
+        log.info("%s %02dZ is whole", date, hour)
+        return None
+    return date, hour
+
+
+def main(argv: Sequence[str] | None = None, predictor: tiling.Predictor | None = None, now: datetime | None = None) -> int:
+    """Run one cycle over staged fields: with --poll the newest published one, if it lacks steps; else the newest that is old enough, or the one named.
+
+    Returns 1 if a cycle was run and has no good step.
+    """
     parser = argparse.ArgumentParser(description=main.__doc__)
-    parser.add_argument("--fields", required=True, help="folder of staged fields")
+    parser.add_argument("--fields", required=True, help="folder of staged fields; with --poll of staged cycles")
     parser.add_argument("--output", required=True, help="folder of stores")
     parser.add_argument("--model", required=True)
-    parser.add_argument("--onnx", required=True, help="model file")
+    parser.add_argument("--onnx", help="model file")
+    parser.add_argument("--poll", action="store_true", help="run the newest cycle whose first step is staged, if it lacks any")
     parser.add_argument("--cycle", help="date and hour, as 2026-08-20T18; otherwise by --lag")
     parser.add_argument("--lag", type=int, default=7, help="hours after which a cycle counts as published")
     parser.add_argument("--rows", type=int, default=721)
     parser.add_argument("--cols", type=int, default=1440)
     parser.add_argument("--keep-days", type=int, default=7)
+    parser.add_argument("--cache", help="folder of downloads to prune")
     parser.add_argument("--fronts", action="store_true")
     parser.add_argument("--pressure", action="store_true")
     parser.add_argument("--threshold", type=float, default=0.25)
+    parser.add_argument("--patch", type=int, default=256)
+    parser.add_argument("--overlap", type=int, default=96)
     args = parser.parse_args(argv)
-    from isallobar.sources.fields import StagedSource
+    from isallobar.sources.fields import StagedCycles, StagedSource
 
+    if predictor is None:
+        if not args.onnx:
+            parser.error("--onnx names the model file")
+        predictor = tiling.OnnxPredictor(args.onnx)
     spark = SparkSession.builder.appName("isallobar cycle").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    now = datetime.now(timezone.utc)
-    then = datetime.strptime(args.cycle, "%Y-%m-%dT%H") if args.cycle else now - timedelta(hours=args.lag)
-    run = ModelRun(get_manifest(args.model), tiling.OnnxPredictor(args.onnx), fronts=args.fronts, pressure=args.pressure, settings=Settings(threshold=args.threshold))
-    done = run_cycle([run], StagedSource(spark, args.fields, Grid(args.rows, args.cols)), then.strftime("%Y-%m-%d"), then.hour // 6 * 6, args.output)
+    now = now or datetime.now(timezone.utc)
+    grid = Grid(args.rows, args.cols)
+    if args.poll:
+        cycles = StagedCycles(spark, args.fields, grid)
+        if (target := pending_cycle(spark, cycles.available(), [args.model], args.output, now)) is None:
+            return 0
+        date, hour = target
+        source = cycles.open(date, hour)
+    else:
+        then = datetime.strptime(args.cycle, "%Y-%m-%dT%H") if args.cycle else now - timedelta(hours=args.lag)
+        date, hour = then.strftime("%Y-%m-%d"), then.hour // 6 * 6
+        source = StagedSource(spark, args.fields, grid)
+    run = ModelRun(get_model(args.model), predictor, patch=args.patch, overlap=args.overlap, fronts=args.fronts, pressure=args.pressure, settings=Settings(threshold=args.threshold))
+    done = run_cycle([run], source, date, hour, args.output)
     try:
         prune(spark, args.output, now, args.keep_days)
+        if args.cache:
+            prune_cache(spark, args.cache, now, args.keep_days)
     except Exception:
         log.exception("nothing is pruned")
     return 0 if done else 1

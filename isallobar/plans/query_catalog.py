@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from isallobar.functions import names, style
 from isallobar.plans import catalog
 from isallobar.plans.registry import LISTING, listing, query, r, read, rounded
+from isallobar.sources.storage import shared_folder
 from isallobar.streaming import cycles
 
 
@@ -30,10 +30,14 @@ def target_steps(spark, sf_dir):
 ISO = "'%Y-%m-%dT%H:%M:%S'"
 
 
-@query(f"WITH {LISTING} SELECT model, name, strftime(strptime(CASE WHEN regexp_matches(name, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T[0-9]{{2}}Z_f[0-9]{{3}}[.]zarr$') THEN name[1:13] END, '%Y-%m-%dT%H'), {ISO}) AS cycle, CAST(name[17:19] AS INTEGER) AS step FROM (SELECT DISTINCT model, name FROM listing WHERE regexp_matches(name, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T[0-9]{{2}}Z_f[0-9]{{3}}[.]zarr$') AND name NOT LIKE '2001-13%')")
+@query(f"WITH {LISTING} SELECT model, store AS name, strftime(cycle, {ISO}) AS cycle, step FROM stores")
 def parse_store(spark, sf_dir):
-    found = listing(spark, sf_dir).where("name NOT LIKE '2001-13%'").select("model", "name").distinct()
-    return catalog.stores(found).select("model", F.col("store").alias("name"), names.iso_time(F.col("cycle")).alias("cycle"), "step")
+    return _present(spark, sf_dir).select("model", F.col("store").alias("name"), names.iso_time(F.col("cycle")).alias("cycle"), "step")
+
+
+def _present(spark, sf_dir):
+    """Stores of the listing, among whose names are side files, notes, pointers and impossible dates."""
+    return catalog.stores(listing(spark, sf_dir).select("model", "name").distinct())
 
 
 @query(f"WITH {LISTING} SELECT o_orderkey, store, strftime(cycle, {ISO}) AS cycle_time, strftime(cycle + to_hours(step), {ISO}) AS valid_time, replace(store, '.zarr', '.fronts.geojson') AS fronts FROM base JOIN named USING (o_orderkey, model, cycle, step)")
@@ -47,30 +51,20 @@ def store_names(spark, sf_dir):
 
 @query(f"WITH {LISTING} SELECT model, strftime(max(cycle), {ISO}) AS cycle FROM stores GROUP BY model")
 def newest_cycles(spark, sf_dir):
-    present = catalog.stores(_sound(spark, sf_dir))
-    return catalog.newest_cycles(present).select("model", names.iso_time(F.col("cycle")).alias("cycle"))
-
-
-def _sound(spark, sf_dir):
-    return listing(spark, sf_dir).where("name NOT LIKE '2001-13%'").select("model", "name").distinct()
+    return catalog.newest_cycles(_present(spark, sf_dir)).select("model", names.iso_time(F.col("cycle")).alias("cycle"))
 
 
 @query(f"WITH {LISTING} SELECT model, CAST(count(*) AS BIGINT) AS steps FROM stores GROUP BY model")
 def step_counts(spark, sf_dir):
-    return catalog.step_counts(catalog.stores(_sound(spark, sf_dir)))
-
-
-TARGETS = "targets AS (SELECT model, cycle, CAST(step AS INTEGER) AS step FROM (SELECT DISTINCT model, cycle FROM stores WHERE cycle >= TIMESTAMP '2001-06-01'), range(0, 241, 6) AS s(step) WHERE step <= 144 OR hour(cycle) % 12 = 0)"
+    return catalog.step_counts(_present(spark, sf_dir))
 
 
-def _recent(spark, sf_dir):
-    present = catalog.stores(_sound(spark, sf_dir))
-    return present, present.where("cycle >= TIMESTAMP '2001-06-01'").select("model", "cycle").distinct()
+TARGETS = "targets AS (SELECT model, cycle, CAST(step AS INTEGER) AS step FROM (SELECT DISTINCT model, cycle FROM stores), range(0, 241, 6) AS s(step) WHERE step <= 144 OR hour(cycle) % 12 = 0)"
 
 
 @query(f"WITH {LISTING}, {TARGETS} SELECT model, strftime(cycle, {ISO}) AS cycle, step FROM targets ANTI JOIN stores USING (model, cycle, step)")
 def missing_steps(spark, sf_dir):
-    return catalog.missing_steps(*_recent(spark, sf_dir)).select("model", names.iso_time(F.col("cycle")).alias("cycle"), "step")
+    return catalog.missing_steps(_present(spark, sf_dir)).select("model", names.iso_time(F.col("cycle")).alias("cycle"), "step")
 
 
 @query(f"""WITH {LISTING}, {TARGETS}, gaps AS (SELECT model, cycle, count(*) AS n FROM targets ANTI JOIN stores USING (model, cycle, step) GROUP BY model, cycle),
@@ -78,13 +72,13 @@ has AS (SELECT model, cycle, count(DISTINCT step) AS n FROM stores GROUP BY mode
 SELECT t.model, strftime(t.cycle, {ISO}) AS cycle, CAST(coalesce(h.n, 0) AS BIGINT) AS present, CAST(coalesce(g.n, 0) AS BIGINT) AS missing, g.n IS NULL AS complete
 FROM (SELECT DISTINCT model, cycle FROM targets) t LEFT JOIN has h ON h.model = t.model AND h.cycle = t.cycle LEFT JOIN gaps g ON g.model = t.model AND g.cycle = t.cycle""")
 def cycle_completeness(spark, sf_dir):
-    found = catalog.completeness(*_recent(spark, sf_dir))
+    found = catalog.completeness(_present(spark, sf_dir))
     return found.select("model", names.iso_time(F.col("cycle")).alias("cycle"), F.col("present").cast("long").alias("present"), F.col("missing").cast("long").alias("missing"), "complete")
 
 
 @query(f"WITH {LISTING} SELECT strftime(max(cycle), {ISO}) AS cycle FROM stores WHERE step = 0 AND cycle <= TIMESTAMP '2001-07-20 12:00:00' AND cycle >= TIMESTAMP '2000-07-20 12:00:00'")
 def newest_published(spark, sf_dir):
-    found = catalog.newest_published(catalog.stores(_sound(spark, sf_dir)), F.lit("2001-07-20 13:40:00").cast("timestamp"), tries=1461)
+    found = catalog.newest_published(_present(spark, sf_dir), F.lit("2001-07-20 13:40:00").cast("timestamp"), tries=1461)
     return found.select(names.iso_time(F.col("cycle")).alias("cycle"))
 
 
@@ -94,12 +88,12 @@ def completed_cycle(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", names.iso_time(names.completed_cycle(now)).alias("cycle"))
 
 
-@query(f"""WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN o_orderdate - to_hours(o_orderkey % 7 * 6) END AS a, o_orderdate AS b FROM orders WHERE o_orderkey < 2000)
+@query(f"""WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN o_orderdate - to_hours(o_orderkey % 7 * 6) END AS a, o_orderdate AS b FROM orders)
 SELECT o_orderkey, strftime(unnest(CASE WHEN a IS NULL THEN [b] ELSE range(a + INTERVAL 6 HOURS, b + INTERVAL 6 HOURS, INTERVAL 6 HOURS) END), {ISO}) AS cycle FROM o""")
 def cycles_between(spark, sf_dir):
     end = F.col("o_orderdate").cast("timestamp")
     after = F.when(F.col("o_orderkey") % 7 > 0, F.timestamp_add("HOUR", (F.col("o_orderkey") % 7 * -6).cast("int"), end))
-    return read(spark, sf_dir, "orders").where("o_orderkey < 2000").select("o_orderkey", F.explode(names.cycles_between(after, end)).alias("cycle")).select("o_orderkey", names.iso_time(F.col("cycle")).alias("cycle"))
+    return read(spark, sf_dir, "orders").select("o_orderkey", F.explode(names.cycles_between(after, end)).alias("cycle")).select("o_orderkey", names.iso_time(F.col("cycle")).alias("cycle"))
 
 
 @query(f"""WITH {LISTING} SELECT DISTINCT model, name, try_strptime(name[1:10], '%Y-%m-%d')::DATE AS date FROM listing
@@ -120,13 +114,13 @@ def retention_cache(spark, sf_dir):
 SELECT s.model, s.store, f.name AS fronts, CAST(NULL AS VARCHAR) AS pressure FROM stores s LEFT JOIN files f ON f.model = s.model AND f.name = replace(s.store, '.zarr', '.fronts.geojson')""")
 def attach_products(spark, sf_dir):
     files = listing(spark, sf_dir).select("model", "name", "is_folder").distinct()
-    found = catalog.with_products(catalog.stores(_sound(spark, sf_dir)).distinct(), files)
+    found = catalog.with_products(_present(spark, sf_dir).distinct(), files)
     return found.select("model", "store", "fronts", "pressure")
 
 
 @query(f"WITH {LISTING} SELECT DISTINCT 'model_F' AS model, a.store AS name FROM stores a WHERE a.model = 'model_F' AND NOT EXISTS (SELECT 1 FROM stores b WHERE b.model = 'model_O' AND b.store = a.store)")
 def stale_copies(spark, sf_dir):
-    present = catalog.stores(_sound(spark, sf_dir)).select("model", F.col("store").alias("name")).distinct()
+    present = _present(spark, sf_dir).select("model", F.col("store").alias("name")).distinct()
     source = present.where("model = 'model_O'").withColumn("model", F.lit("model_F"))
     return catalog.stale_copies(source, present.where("model = 'model_F'"))
 
@@ -160,14 +154,14 @@ COLOURS = "(VALUES ('#3987e5'), ('#d62728'), ('#199e70'), ('#ffffff')) AS h(hex)
 
 
 @query(f"""WITH h AS (SELECT hex, [('0x' || hex[2:3])::INT / 255e0, ('0x' || hex[4:5])::INT / 255e0, ('0x' || hex[6:7])::INT / 255e0] AS q FROM {COLOURS}),
-s AS (SELECT p_partkey, hex, q, [p_size / 5e1, p_partkey % 10 / 1e1, 5e-1] AS p FROM part, h WHERE p_partkey < 1000),
+s AS (SELECT p_partkey, hex, q, [p_size / 5e1, p_partkey % 10 / 1e1, 5e-1] AS p FROM part, h),
 t AS (SELECT p_partkey, hex, list_sum([(1 - p[k]) * (1 - q[k]) for k in [1, 2, 3]]) AS n, list_sum([(1 - q[k]) * (1 - q[k]) for k in [1, 2, 3]]) AS d FROM s)
 SELECT p_partkey, hex, CASE WHEN d = 0 THEN 0e0 ELSE {r('greatest(0e0, least(1e0, n / d))')} END AS alpha FROM t""")
 def class_alpha(spark, sf_dir):
     k = F.col("p_partkey")
     pixel = F.array(F.col("p_size") / 50.0, k % 10 / 10.0, F.lit(0.5))
     colours = F.array(*(F.lit(x) for x in ("#3987e5", "#d62728", "#199e70", "#ffffff")))
-    spread = read(spark, sf_dir, "part").where("p_partkey < 1000").withColumn("hex", F.explode(colours))
+    spread = read(spark, sf_dir, "part").withColumn("hex", F.explode(colours))
     return spread.select("p_partkey", "hex", rounded(style.class_alpha(pixel, style.rgb(F.col("hex")))).alias("alpha"))
 
 
@@ -233,31 +227,37 @@ def window_6h(spark, sf_dir):
 
 @query(f"SELECT strftime(cycle, {ISO}) AS cycle, event_type, n, cents FROM ({WINDOW_SQL})")
 def stream_6h(spark, sf_dir):
-    """The same buckets from a stream over the table's files, run until all is read."""
-    table = read(spark, sf_dir, "events")
-    stream = spark.readStream.schema(table.schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(_stream_folder(spark, table))
-    name = f"buckets_{uuid.uuid4().hex}"
-    run = cycles.six_hour_buckets(stream).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.table(name).select(names.iso_time(F.col("cycle")).alias("cycle"), "event_type", "n", "cents")
+    """The same buckets from a stream over the table's files, one at a time, run until all is read."""
+    table, folder = read(spark, sf_dir, "events"), _folder(spark)
+    table.repartition(3).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    found = cycles.six_hour_buckets(stream).writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/state")
+    found.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{folder}/out")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(names.iso_time(F.col("cycle")).alias("cycle"), "event_type", "n", "cents")
 
 
-def _stream_folder(spark, table):
-    """A folder of files for a stream to find: the table written in parts."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="isallobar-")
-    path = f"{shared}/isallobar/stream-{uuid.uuid4().hex}"
-    table.repartition(3).write.parquet(path)
-    return path
+def _folder(spark):
+    """A new folder that all machines see."""
+    return f"{shared_folder(spark)}/isallobar/stream-{uuid.uuid4().hex}"
 
 
 @query()
 def stream_tracking(spark, sf_dir):
-    """Event ids from the stateful stream; they equal those of the batch plan."""
-    from isallobar.plans.query_lines import _tracked_points
-
-    points = _tracked_points(spark, sf_dir).withColumn("cycle", F.lit("2024-01-01").cast("timestamp"))
-    stream = spark.readStream.schema(points.schema).parquet(_stream_folder(spark, points.orderBy("step")))
-    name = f"tracked_{uuid.uuid4().hex}"
-    run = cycles.tracked_stream(stream).writeStream.outputMode("append").format("memory").queryName(name).trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.table(name).select("step", "front", "event_id", F.array_join("parents", ",").alias("parents"))
+    """Event ids from the stateful stream, fed file by file; they equal those of the batch plan (:func:`track_fronts`).
+
+    Of each step the points come in two files, and then the mark that the step is whole; one
+    good step has no fronts.
+    """
+    from isallobar.plans.query_lines import tracked_points, tracked_steps
+
+    points = tracked_points(spark, sf_dir).withColumn("cycle", F.lit("2024-01-01").cast("timestamp"))
+    folder = _folder(spark)
+    rows = cycles.with_marks(points, tracked_steps(spark).select(F.lit("2024-01-01").cast("timestamp").alias("cycle"), "step"))
+    for step in sorted(r.step for r in tracked_steps(spark).collect()):  # a few steps
+        own = rows.where(F.col("step") == step)
+        for part in (own.where("front % 2 = 0"), own.where("front % 2 = 1"), own.where("front IS NULL")):
+            part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    run = cycles.tracked_stream(stream).writeStream.outputMode("append").option("checkpointLocation", f"{folder}/state")
+    run.format("parquet").option("path", f"{folder}/out").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(cycles.TRACKED).parquet(f"{folder}/out").select("step", "front", "event_id", F.array_join("parents", ",").alias("parents"))

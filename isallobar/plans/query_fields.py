@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from isallobar.functions import geo, physics
 from isallobar.operators import assemble as asm
-from isallobar.operators import derive
-from isallobar.operators.grid import channel_negated, flipped, normalised_longitudes, rolled_to_signed, spliced, thinned
-from isallobar.plans.manifest import CLASS_CODES, channel_table, get_manifest, manifest_table
+from isallobar.operators import derive, tiling
+from isallobar.operators.grid import Grid, channel_negated, flipped, normalised_longitudes, rolled_to_signed, spliced, thinned
+from isallobar.operators.neighbourhood import row_place
+from isallobar.plans.manifest import CLASS_CODES, channel_table, get_model
 from isallobar.plans.registry import AIR, GRID, LAT, LEVELS, LON, PROBABILITIES, SMALL, WINDS, grid_cells, ground, haversine_sql, level_fields, probabilities, query, r, read, rounded, theta_e_sql, winds
 
 THETA_E = theta_e_sql("(27e1 + 5e-1 * l_quantity)", "(1e-1 * l_discount)", "85e1")
@@ -96,7 +99,7 @@ def pv_isobaric(spark, sf_dir):
 )
 SELECT model, CAST(row_number() OVER (PARTITION BY model ORDER BY single, nth, position) - 1 AS INTEGER) AS channel_index, channel FROM flat""")
 def channel_names(spark, sf_dir):
-    return channel_table(manifest_table(spark).where("model IN ('theta-e_uv_q', 'model_1702')"))
+    return channel_table(spark, (get_model("theta-e_uv_q"), get_model("model_1702")))
 
 
 ASSEMBLED = f"""{AIR}, level_order AS (SELECT * FROM (VALUES (0, 1000), (1, 925), (2, 850), (3, 700), (4, 500), (5, 300)) AS t(k, level)),
@@ -111,7 +114,7 @@ channels AS (
 
 
 def _inputs(spark, sf_dir):
-    return asm.assemble(level_fields(spark, sf_dir), get_manifest("spix_wce_loss_modified_dilation"), ["step"], SMALL, ground(spark, sf_dir))
+    return asm.assemble(level_fields(spark, sf_dir), get_model("spix_wce_loss_modified_dilation"), ["step"], SMALL, ground(spark, sf_dir))
 
 
 @query(f"WITH {ASSEMBLED} SELECT r, c, CAST(i AS INTEGER) AS i, {r('v')} AS v FROM channels")
@@ -122,15 +125,24 @@ def assemble_channels(spark, sf_dir):
 @query(f"""WITH {ASSEMBLED} SELECT r, c, CAST(l AS INTEGER) AS l, CAST(j AS INTEGER) AS j, {r('v')} AS v FROM channels, range(6) AS a(l), range(8) AS b(j)
 WHERE i = CASE WHEN j < 4 THEN l * 4 + j ELSE 20 + j END""")
 def volume_reshape(spark, sf_dir):
-    cube = _inputs(spark, sf_dir).select("r", "c", F.posexplode(asm.volume(F.col("channels"), 6, 4)).alias("l", "x"))
-    return cube.select("r", "c", "l", F.posexplode("x").alias("j", "v")).select("r", "c", "l", "j", rounded("v").alias("v"))
+    """Channels as the volumetric predictor is given them."""
+    shaped = tiling.Volumetric(None, get_model("spix_wce_loss_modified_dilation"))
+
+    def work(batches):
+        for batch in batches:
+            found = shaped.volume(np.stack(batch["channels"].to_numpy()).astype(float)) if len(batch) else np.empty((0, 6, 8))
+            n, l, j = np.indices(found.shape)
+            yield pd.DataFrame({"r": batch["r"].to_numpy()[n.ravel()], "c": batch["c"].to_numpy()[n.ravel()], "l": l.ravel(), "j": j.ravel(), "v": found.ravel()})
+
+    cube = _inputs(spark, sf_dir).select("r", "c", "channels").mapInPandas(work, "r int, c int, l int, j int, v double")
+    return cube.select("r", "c", "l", "j", rounded("v").alias("v"))
 
 
 @query(f"WITH {ASSEMBLED} SELECT r, c, CAST(i AS INTEGER) AS i, {r(f'CASE WHEN i IN (2, 6, 10, 14, 18, 22, 25) AND {LAT} < 0 THEN -v ELSE v END')} AS v FROM channels")
 def hemisphere_negate(spark, sf_dir):
     from isallobar.operators.grid import channels_negated
 
-    turned = channels_negated(F.col("channels"), get_manifest("spix_wce_loss_modified_dilation").channel_names(), SMALL.lat())
+    turned = channels_negated(F.col("channels"), get_model("spix_wce_loss_modified_dilation").channel_names(), SMALL.lat())
     return _inputs(spark, sf_dir).select("r", "c", F.posexplode(turned).alias("i", "v")).select("r", "c", "i", rounded("v").alias("v"))
 
 
@@ -155,8 +167,14 @@ def flip_rows(spark, sf_dir):
 @query(f"WITH {PROBABILITIES}, i AS (SELECT r, c, k, p FROM prob WHERE k IN (1, 4)) SELECT r, c, CAST(CASE k WHEN 4 THEN 0 ELSE 1 END AS INTEGER) AS i, {r('p')} AS p FROM i")
 def select_classes(spark, sf_dir):
     every = probabilities(spark, sf_dir).groupBy("r", "c").pivot("cls", ["cold", "warm", "stationary", "occluded", "dryline"]).agg(F.first("p"))
-    held = every.select("r", "c", F.array("cold", "warm", "stationary", "occluded", "dryline").alias("p"))
-    return held.select("r", "c", F.posexplode(asm.selected(F.col("p"), [4, 1])).alias("i", "p")).select("r", "c", "i", rounded("p").alias("p"))
+
+    def work(batches):
+        for batch in batches:
+            found = tiling.selected(batch[["cold", "warm", "stationary", "occluded", "dryline"]].to_numpy(), [4, 1])
+            n, i = np.indices(found.shape)
+            yield pd.DataFrame({"r": batch["r"].to_numpy()[n.ravel()], "c": batch["c"].to_numpy()[n.ravel()], "i": i.ravel(), "p": found.ravel()})
+
+    return every.mapInPandas(work, "r int, c int, i int, p double").select("r", "c", "i", rounded("p").alias("p"))
 
 
 @query(f"WITH {PROBABILITIES} SELECT r, c, ['CF', 'WF', 'SF', 'OF', 'DL'][k + 1] AS code, {r('p')} AS p FROM prob")
@@ -188,7 +206,7 @@ def normalise_lon(spark, sf_dir):
 @query(f"""WITH {ASSEMBLED}, wide AS (SELECT r, c, max(v) FILTER (i = 8) AS temperature, max(v) FILTER (i = 9) AS u, max(v) FILTER (i = 10) AS v FROM channels GROUP BY r, c)
 SELECT r, CAST((c + 24) % 48 AS INTEGER) AS c, {r(f'CASE WHEN {LON} >= 180 THEN {LON} - 360 ELSE {LON} END', 4)} AS lon, {r('CAST(CAST(temperature AS FLOAT) AS DOUBLE)', 3)} AS temperature, {r('CAST(CAST(u AS FLOAT) AS DOUBLE)', 3)} AS u, {r('CAST(CAST(v AS FLOAT) AS DOUBLE)', 3)} AS v FROM wide""")
 def orientation(spark, sf_dir):
-    found = asm.orientation_fields(_inputs(spark, sf_dir), get_manifest("spix_wce_loss_modified_dilation"), SMALL)
+    found = asm.orientation_fields(_inputs(spark, sf_dir), get_model("spix_wce_loss_modified_dilation"), SMALL)
     return found.select("r", "c", rounded("lon", 4).alias("lon"), *(rounded(F.col(n).cast("double"), 3).alias(n) for n in ("temperature", "u", "v")))
 
 
@@ -250,7 +268,9 @@ def global_axis(spark, sf_dir):
 
 @query(f"SELECT c_custkey, CASE WHEN {SPOT[1]} BETWEEN -6e1 AND 6e1 THEN {r(f'(6e1 - {SPOT[1]}) / 25e-1')} END AS y FROM customer")
 def fractional_index(spark, sf_dir):
-    return _spots(spark, sf_dir).select("c_custkey", rounded(geo.fractional_index(F.col("lat"), 60.0, -2.5, 49)).alias("y"))
+    """Places on the axis of a grid from 60 to -60 degrees, as samples of fields are taken at them."""
+    band = Grid(49, 144, north=60.0, south=-60.0)
+    return _spots(spark, sf_dir).select("c_custkey", rounded(row_place(F.col("lat"), band)).alias("y"))
 
 
 @query("SELECT variable, CAST(count(*) AS BIGINT) AS n, count(DISTINCT level) AS levels FROM (VALUES ('temperature', 850), ('temperature', 500), ('surface_pressure', NULL)) AS t(variable, level), range(24 * 48) GROUP BY variable")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from isallobar.functions import geo, physics
-from isallobar.operators import fronts, lines
+from isallobar.operators import fronts, kernels, lines, tiling
 from isallobar.plans.registry import GRID, LAT, LINES, LON, PROBABILITIES, SMALL, grid_cells, haversine_sql, line_points, part, probabilities, query, r, read, rounded
 
 STEP = haversine_sql("lag(lon) OVER w", "lag(lat) OVER w", "lon", "lat")
@@ -40,8 +42,10 @@ def unwrap_lon(spark, sf_dir):
 runs AS (SELECT *, sum(new) OVER (PARTITION BY line ORDER BY i) AS run FROM marked)
 SELECT line, CAST(run AS INTEGER) AS run, min(label) AS label, min(i) AS first, max(i) AS last FROM runs GROUP BY line, run""")
 def sections_rle(spark, sf_dir):
-    runs = lines.with_runs(line_points(spark, sf_dir), ["line"], "label")
-    return runs.groupBy("line", "run").agg(F.min("label").alias("label"), F.min("i").alias("first"), F.max("i").alias("last"))
+    found = lines.runs(line_points(spark, sf_dir), ["line"], "label")
+    # A stretch ends where the next begins; its own last point is the one before.
+    final = F.max("run").over(Window.partitionBy("line"))
+    return found.withColumn("last", F.when(F.col("run") < final, F.col("last") - 1).otherwise(F.col("last")))
 
 
 GRADIENT = "CASE WHEN lag({0}) OVER w IS NULL THEN lead({0}) OVER w - {0} WHEN lead({0}) OVER w IS NULL THEN {0} - lag({0}) OVER w ELSE (lead({0}) OVER w - lag({0}) OVER w) / 2 END"
@@ -106,7 +110,7 @@ t AS (SELECT *, least(1e0, greatest(0e0, -(e0 * (e1 - e0) + n0 * (n1 - n0)) / CA
 d AS (SELECT *, e0 + s * (e1 - e0) AS e, n0 + s * (n1 - n0) AS n FROM t), b AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY e * e + n * n, i) AS k FROM d)
 SELECT query, {r('sqrt(e * e + n * n)', 3)} AS km, {r('lat + degrees(n / 6371e0)', 4)} AS lat FROM b WHERE k = 1""")
 def project_points(spark, sf_dir):
-    found = lines.projected(_asked(spark, sf_dir), line_points(spark, sf_dir), ["line"], [])
+    found = lines.projected(_asked(spark, sf_dir), line_points(spark, sf_dir), ["line"])
     return found.select("query", rounded("km", 3).alias("km"), rounded("lat", 4).alias("lat"))
 
 
@@ -139,67 +143,113 @@ def masked_mean(spark, sf_dir):
 BAND = f"{PROBABILITIES}, band AS (SELECT r, c, sum(p) AS p FROM prob WHERE k < 4 GROUP BY r, c)"
 
 
-def _band(spark, sf_dir):
-    four = probabilities(spark, sf_dir).where("cls <> 'dryline'")
-    return four.groupBy("r", "c").agg(F.sum(physics.nan_to_zero(F.col("p"))).alias("p"))
+def _on_grid(cells, work, columns):
+    """A kernel over the small grid's fields, one array for each class; it returns rows of ``columns``."""
+
+    def run(part):
+        fields = {}
+        for cls, own in part.groupby("cls"):
+            fields[cls] = np.zeros((SMALL.rows, SMALL.cols))
+            fields[cls][own["r"], own["c"]] = own["p"]
+        return work(fields)
+
+    return cells.select(F.lit(0).alias("f"), "cls", "r", "c", physics.nan_to_zero(F.col("p")).alias("p")).groupBy("f").applyInPandas(run, columns)
+
+
+FOUR = ["cold", "warm", "stationary", "occluded"]
+
+
+def _crest(spark, sf_dir):
+    """Cells where four classes together reach 0.9, by the mask that tracing uses."""
+
+    def work(fields):
+        r, c = np.nonzero(fronts.crest_mask(fields, FOUR, fronts.Settings(threshold=0.9)))
+        return pd.DataFrame({"r": r.astype(np.int32), "c": c.astype(np.int32), "p": sum(fields[t] for t in FOUR)[r, c]})
+
+    return _on_grid(probabilities(spark, sf_dir), work, "r int, c int, p double")
 
 
 @query(f"WITH {BAND} SELECT r, c, {r('p')} AS p FROM band WHERE p >= 9e-1")
 def crest_threshold(spark, sf_dir):
-    return _band(spark, sf_dir).where("p >= 0.9").select("r", "c", rounded("p").alias("p"))
+    return _crest(spark, sf_dir).select("r", "c", rounded("p").alias("p"))
 
 
 @query(f"""WITH {BAND}, crest AS (SELECT r, c FROM band WHERE p >= 9e-1), edges AS (
   SELECT a.r, a.c, b.r AS r2, b.c AS c2 FROM crest a, (VALUES (0, 1), (1, -1), (1, 0), (1, 1)) AS o(dr, dc) JOIN crest b ON b.r = a.r + dr AND b.c = (a.c + dc + 48) % 48)
 SELECT r, c, r2, c2, {r(haversine_sql(LON, LAT, LON.replace('c ', 'c2 '), LAT.replace('r ', 'r2 ')), 3)} AS km FROM edges""")
 def crest_graph(spark, sf_dir):
-    crest = _band(spark, sf_dir).where("p >= 0.9").withColumn("f", F.lit(0))
+    crest = _crest(spark, sf_dir).withColumn("f", F.lit(0))
     return lines.neighbours(crest, ["f"], SMALL).select("r", "c", "r2", "c2", rounded("km", 3).alias("km"))
 
 
 @query(f"""WITH {PROBABILITIES}, best AS (SELECT r, c, k, row_number() OVER (PARTITION BY r, c ORDER BY p DESC, k) AS n FROM prob) SELECT r, c, CAST(k AS INTEGER) AS winner FROM best WHERE n = 1""")
 def class_argmax(spark, sf_dir):
-    wide = probabilities(spark, sf_dir).groupBy("r", "c").pivot("cls", ["cold", "warm", "stationary", "occluded", "dryline"]).agg(F.first("p"))
-    p = F.array("cold", "warm", "stationary", "occluded", "dryline")
-    return wide.select("r", "c", (F.array_position(p, F.array_max(p)) - 1).cast("int").alias("winner"))
+    def work(fields):
+        best = fronts.dominant(np.stack([fields[t] for t in (*FOUR, "dryline")]))
+        r, c = np.indices(best.shape)
+        return pd.DataFrame({"r": r.ravel().astype(np.int32), "c": c.ravel().astype(np.int32), "winner": best.ravel().astype(np.int32)})
+
+    return _on_grid(probabilities(spark, sf_dir), work, "r int, c int, winner int")
 
 
 @query(f"WITH {GRID} SELECT r, c, {r('exp(v % 5e0 / 2e0) / (exp(v % 5e0 / 2e0) + exp(v % 3e0 / 2e0) + 1e0)')} AS p FROM grid")
 def softmax_temperature(spark, sf_dir):
-    logits = F.array(part("v", 5), part("v", 3), F.lit(0.0))
-    return grid_cells(spark, sf_dir).select("r", "c", rounded(F.get(physics.softmax(logits, 2.0), F.lit(0))).alias("p"))
+    """The predictor's softmax, batch by batch."""
+    model = tiling.LinearSoftmax(np.eye(3), np.zeros(3), 2.0)
 
+    def work(batches):
+        for batch in batches:
+            found = model.predict_batch(np.stack([batch["a"], batch["b"], np.zeros(len(batch))], axis=-1))
+            yield pd.DataFrame({"r": batch["r"], "c": batch["c"], "p": found[:, 0]})
 
-PATHS = f"{LINES}, cells AS (SELECT line % 8 AS crest, line AS path, i AS pos, CAST(v % 4e1 AS INTEGER) AS cell FROM (SELECT r AS line, c AS i, v FROM grid))"
+    return grid_cells(spark, sf_dir).select("r", "c", part("v", 5).alias("a"), part("v", 3).alias("b")).mapInPandas(work, "r int, c int, p double").select("r", "c", rounded("p").alias("p"))
 
 
-@query(f"""WITH {PATHS}, first AS (SELECT crest, cell, min(path * 1000 + pos) AS at FROM cells GROUP BY crest, cell)
-SELECT c.crest, c.path AS branch, CAST(f.at // 1000 AS INTEGER) AS parent, CAST(f.at % 1000 AS INTEGER) AS pos FROM cells c JOIN first f ON f.crest = c.crest AND f.cell = c.cell WHERE c.pos = 0 AND f.at // 1000 < c.path""")
+PATHS = f"{LINES}, cells AS (SELECT line % 8 AS crest, line AS path, i AS pos, CAST(floor(v % 4e1) AS INTEGER) AS cell FROM (SELECT r AS line, c AS i, v FROM grid))"
+
+
+@query(f"""WITH {PATHS}, first AS (SELECT crest, path, cell, min(pos) AS pos FROM cells GROUP BY crest, path, cell)
+SELECT c.crest, c.path AS branch, f.path AS parent, f.pos FROM cells c JOIN first f ON f.crest = c.crest AND f.path = c.path - 8 AND f.cell = c.cell WHERE c.pos = 0""")
 def junction_lookup(spark, sf_dir):
-    cells = grid_cells(spark, sf_dir).select((F.col("r") % 8).alias("crest"), F.col("r").alias("path"), F.col("c").alias("pos"), F.rint(part("v", 40)).cast("int").alias("cell"))
-    first = cells.groupBy("crest", "cell").agg(F.min(F.struct("path", "pos")).alias("at"))
-    met = cells.where("pos = 0").join(first, ["crest", "cell"]).where(F.col("at.path") < F.col("path"))
-    return met.select("crest", F.col("path").alias("branch"), F.col("at.path").alias("parent"), F.col("at.pos").alias("pos"))
+    """Each path of a crest is a branch of the one before; where it begins on that one."""
+
+    def work(part):
+        paths = [(k - 1, own.sort_values("pos")[["cell"]].to_numpy()) for k, (_, own) in enumerate(part.groupby("path"))]
+        names, crest = sorted(part["path"].unique()), part["crest"].iloc[0]
+        return pd.DataFrame([(crest, names[branch], names[parent], pos) for parent, pos, branch in kernels.junctions(paths)], columns=["crest", "branch", "parent", "pos"])
 
+    cells = grid_cells(spark, sf_dir).select((F.col("r") % 8).alias("crest"), F.col("r").alias("path"), F.col("c").alias("pos"), F.floor(part("v", 40)).cast("int").alias("cell"))
+    return cells.groupBy("crest").applyInPandas(work, "crest int, branch int, parent int, pos int")
 
-@query(f"WITH {STEPS}, l AS (SELECT line, sum(step_km) AS km, count(DISTINCT (round(lon, 1), round(lat, 1))) AS spots FROM way GROUP BY line) SELECT line FROM l WHERE km >= 3e4 AND spots > 1")
+
+@query(f"WITH {STEPS} SELECT line, CAST(count(*) AS BIGINT) AS points FROM way GROUP BY line HAVING sum(step_km) >= 3e4")
 def length_prune(spark, sf_dir):
-    points = line_points(spark, sf_dir)
-    spots = points.groupBy("line").agg(F.count_distinct(F.round("lon", 1), F.round("lat", 1)).alias("spots"))
-    return lines.lengths(points, ["line"]).join(spots, "line").where("length_km >= 30000 AND spots > 1").select("line")
+    """Lines as trees without branches: tracing keeps those whose longest path is long enough."""
 
+    def work(p):
+        lon, lat = p["lon"].to_numpy(), p["lat"].to_numpy()
+        step = kernels.haversine_km(lon[:-1], lat[:-1], lon[1:], lat[1:])
+        tree = kernels.spanning_forest(len(lon), [(float(d), k, k + 1) for k, d in enumerate(step)])
+        return pd.DataFrame({"points": [len(nodes) for _, nodes in kernels.long_paths(tree, 0, 3e4, 0.0)]})
 
-def _tracked_points(spark, sf_dir):
-    """Fronts of three steps: the small grid's lines, cut in two and moved a little at each step."""
-    p = line_points(spark, sf_dir).where("i < 20 AND line < 12")
+    return lines.per_line(line_points(spark, sf_dir), ["line"], work, "points bigint")
+
+
+def tracked_points(spark, sf_dir):
+    """Fronts of three steps: all lines of the small grid, moved a little at each step."""
     steps = F.explode(F.array(F.lit(0), F.lit(6), F.lit(12)))
-    moved = p.withColumn("step", steps).withColumn("lon", F.col("lon") + F.col("step") * 0.2)
+    moved = line_points(spark, sf_dir).withColumn("step", steps).withColumn("lon", F.col("lon") + F.col("step") * 0.2)
     kind = F.when(F.col("line") % 3 == 0, "WF").otherwise("CF")
     return moved.select(F.lit(0).alias("cycle"), "step", F.col("line").alias("front"), F.lit(0).alias("grp"), F.lit(0).alias("line"), (F.col("i") / 10).cast("int").alias("section"), kind.alias("front_type"), "i", "lon", "lat", "p")
 
 
+def tracked_steps(spark):
+    """The good steps: those with fronts, and one without after the first two."""
+    return spark.createDataFrame([(0, s) for s in (0, 6, 9, 12)], "cycle int, step int")
+
+
 TRACKED_SQL = f"""{LINES}, pts AS (SELECT s AS step, line AS front, CAST(i // 10 AS INTEGER) AS section, CASE WHEN line % 3 = 0 THEN 'WF' ELSE 'CF' END AS t, i, lon + s * 2e-1 AS lon, lat
-  FROM lines, (VALUES (0), (6), (12)) AS v(s) WHERE i < 20 AND line < 12),
+  FROM lines, (VALUES (0), (6), (12)) AS v(s)),
 secs AS (SELECT *, {haversine_sql('lag(lon) OVER w', 'lag(lat) OVER w', 'lon', 'lat')} AS d FROM pts WINDOW w AS (PARTITION BY step, front, section ORDER BY i)),
 sums AS (SELECT step, front, sum(d) AS km, min(t) AS t FROM secs GROUP BY step, front), thin AS (SELECT * FROM pts WHERE i % 4 = 0),
 near AS (SELECT b.step, a.front AS before, b.front AS after, a.i AS ai, b.i AS bi, {haversine_sql('a.lon', 'a.lat', 'b.lon', 'b.lat')} AS km FROM thin a JOIN thin b ON b.step = a.step + 6),
@@ -211,15 +261,15 @@ mean AS (SELECT step, before, after, avg(km) AS km, min(least(ka, kb)) / min(gre
 
 @query(f"WITH {TRACKED_SQL} SELECT CAST(step AS INTEGER) AS step, before, after, {r('CASE WHEN km < 5e2 THEN (4 * (1 - km / 5e2) + ratio + CASE WHEN same THEN 1e0 ELSE 0e0 END) / 6e0 ELSE 0e0 END', 5)} AS interest FROM mean")
 def match_interest(spark, sf_dir):
-    points = _tracked_points(spark, sf_dir)
+    points = tracked_points(spark, sf_dir)
     steps = points.select("cycle", "step").distinct()
     return fronts.match_scores(points, steps, ["cycle"]).select("step", "before", "after", rounded("interest", 5).alias("interest"))
 
 
 @query()
 def track_fronts(spark, sf_dir):
-    points = _tracked_points(spark, sf_dir)
-    return fronts.tracked(points, points.select("cycle", "step").distinct(), ["cycle"]).select("step", "front", "event_id", F.array_join("parents", ",").alias("parents"))
+    """Event ids of the batch plan; the good step without fronts ends all events."""
+    return fronts.tracked(tracked_points(spark, sf_dir), tracked_steps(spark), ["cycle"]).select("step", "front", "event_id", F.array_join("parents", ",").alias("parents"))
 
 
 SIGHTINGS = """s AS (SELECT 'event_' || user_id % 50 AS event_id, date_trunc('day', ts) AS time, event_type AS cls, value AS km, CASE WHEN event_type = 'error' THEN 'event_' || (user_id + 1) % 50 END AS parent FROM events)"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from isallobar.operators import neighbourhood, pressure, pyramid, tiling
 from isallobar.operators.grid import circular_pad, in_periodic_range, zero_pad
-from isallobar.plans.manifest import ModelManifest, VariableSpec, get_manifest
+from isallobar.plans.manifest import Model, get_model, single
 from isallobar.plans.registry import GRID, LAT, LON, PROBABILITIES, SMALL, grid_cells, part, probabilities, query, r, read, rounded
 
 
@@ -85,7 +85,7 @@ def stitch_blend(spark, sf_dir):
     return _blended(spark, sf_dir, F.col("v") + 1000.0 * F.col("row_start") + 10.0 * F.col("col_start"))
 
 
-TWO = ModelManifest("two", "", (VariableSpec("surface_pressure"), VariableSpec("10m_v_component_of_wind")), classes=("background", "cold", "warm"), served=("cold", "warm"))
+TWO = Model("two", "", single("surface_pressure", "10m_v_component_of_wind"), classes=("background", "cold", "warm"), served=("cold", "warm"))
 
 
 def _pass_sql(table: str) -> str:
@@ -124,12 +124,17 @@ def model_inference(spark, sf_dir):
     return tiling.tiled_inference(inputs, ["step"], SMALL, TWO, model, patch=16, overlap=6).select("r", "c", "cls", rounded("p", 5).alias("p"))
 
 
-@query(f"""WITH {PROBABILITIES}, l0 AS (SELECT cls, r, c, p FROM prob), l1 AS (SELECT cls, r // 2 AS r, c // 2 AS c, avg(p) AS p FROM l0 GROUP BY 1, 2, 3),
-l2 AS (SELECT cls, r // 2 AS r, c // 2 AS c, avg(p) AS p FROM l1 GROUP BY 1, 2, 3), l3 AS (SELECT cls, r // 2 AS r, c // 2 AS c, avg(p) AS p FROM l2 GROUP BY 1, 2, 3),
-l4 AS (SELECT cls, r // 2 AS r, c // 2 AS c, avg(p) AS p FROM l3 GROUP BY 1, 2, 3), l5 AS (SELECT cls, r // 2 AS r, c // 2 AS c, avg(p) AS p FROM l4 GROUP BY 1, 2, 3)
-SELECT level, cls, CAST(r AS INTEGER) AS r, CAST(c AS INTEGER) AS c, {r('p', 9)} AS p FROM (SELECT 0 AS level, * FROM l0 UNION ALL SELECT 1, * FROM l1 UNION ALL SELECT 2, * FROM l2 UNION ALL SELECT 3, * FROM l3 UNION ALL SELECT 4, * FROM l4 UNION ALL SELECT 5, * FROM l5)""")
+def _halved(k: int) -> str:
+    """SQL of a pyramid level from the one before; the four cells are added in reading order."""
+    cells = ", ".join(f"max(p) FILTER (WHERE r % 2 = {a} AND c % 2 = {b}) AS p{a}{b}" for a in (0, 1) for b in (0, 1))
+    total = " + ".join(f"coalesce(p{a}{b}, 0e0)" for a in (0, 1) for b in (0, 1))
+    return f"l{k} AS (SELECT cls, r, c, ({total}) / n AS p FROM (SELECT cls, r // 2 AS r, c // 2 AS c, count(p) AS n, {cells} FROM l{k - 1} GROUP BY 1, 2, 3))"
+
+
+@query(f"""WITH {PROBABILITIES}, l0 AS (SELECT cls, r, c, p FROM prob), {', '.join(_halved(k) for k in range(1, 6))}
+SELECT level, cls, CAST(r AS INTEGER) AS r, CAST(c AS INTEGER) AS c, {r('p', 9)} AS p FROM ({' UNION ALL '.join(f'SELECT {k} AS level, * FROM l{k}' for k in range(6))})""")
 def pyramid_mean(spark, sf_dir):
-    level_0 = pyramid.level0(probabilities(spark, sf_dir), get_manifest("theta-e_uv_q")).drop("p").join(probabilities(spark, sf_dir), ["r", "c", "cls"])
+    level_0 = pyramid.level0(probabilities(spark, sf_dir), get_model("theta-e_uv_q")).drop("p").join(probabilities(spark, sf_dir), ["r", "c", "cls"])
     return pyramid.mean_pyramid(level_0, ["cls"]).select("level", "cls", "r", "c", rounded("p", 9).alias("p"))
 
 

@@ -166,6 +166,6 @@ LISTING = """base AS (
   SELECT model, cycle, step, CASE WHEN o_orderkey % 5 = 0 THEN replace(store, '.zarr', '.fronts.geojson') WHEN o_orderkey % 5 = 1 THEN 'notes-' || store
     WHEN o_orderkey % 11 = 2 THEN 'latest.json' WHEN o_orderkey % 13 = 3 THEN '2001-13-45T00Z_f000.zarr' ELSE store END AS name FROM named
 ), stores AS (
-  SELECT DISTINCT model, name AS store, strptime(name[1:13], '%Y-%m-%dT%H') AS cycle, CAST(name[17:19] AS INTEGER) AS step
-  FROM listing WHERE regexp_matches(name, '^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}Z_f[0-9]{3}[.]zarr$') AND name <> '2001-13-45T00Z_f000.zarr'
+  SELECT DISTINCT model, name AS store, try_strptime(name[1:13], '%Y-%m-%dT%H') AS cycle, CAST(name[17:19] AS INTEGER) AS step
+  FROM listing WHERE regexp_matches(name, '^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}Z_f[0-9]{3}[.]zarr$') AND try_strptime(name[1:13], '%Y-%m-%dT%H') IS NOT NULL
 )"""

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import io
+import re
 from abc import ABC, abstractmethod
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from isallobar.operators.grid import Grid
+from isallobar.plans.manifest import SHORT_NAMES
 from isallobar.sources.storage import Storage
 
 FIELD = "step int, variable string, level int, r int, c int, v double"
@@ -23,6 +26,7 @@ SHAPES = {"temperature": (288.0, 5.0, None), "specific_humidity": (0.005, 0.002,
 class GridSource(ABC):
     """One cycle's fields on one grid."""
 
+    spark: SparkSession
     grid: Grid
 
     @abstractmethod
@@ -86,6 +90,9 @@ class StagedSource(GridSource):
         self.spark, self.path, self.grid = spark, path, grid
 
     def fields(self, variables: Sequence[str], levels: Sequence[int], steps: Sequence[int]) -> DataFrame:
+        storage = Storage(self.spark)
+        if missing := [s for s in steps if not storage.exists(f"{self.path}/fields/step={s}")]:
+            raise FileNotFoundError(f"steps {missing} are not staged in {self.path}")
         staged = self.spark.read.schema(FIELD).parquet(f"{self.path}/fields")
         return staged.where(F.col("step").isin(*steps) & F.col("variable").isin(*variables) & (F.col("level").isNull() | F.col("level").isin(*levels)))
 
@@ -103,7 +110,7 @@ def stage(source: GridSource, path: str, variables: Sequence[str], levels: Seque
     A step's folder gets its name only when it is whole, so a broken run leaves nothing that
     would be taken for data.
     """
-    spark = source.static(["x"]).sparkSession
+    spark = source.spark
     storage = Storage(spark)
     for step in steps:
         target = f"{path}/fields/step={step}"
@@ -141,6 +148,76 @@ def read_arrays(spark: SparkSession, path: str, pattern: str = "*.npy") -> DataF
     return files.select("path", "content").mapInArrow(work, "file string, r int, c int, v double, error string")
 
 
+Message = tuple[str, int | None, np.ndarray]
+
+
+class DecodedSource(GridSource):
+    """Downloaded files of one cycle, decoded where they are read.
+
+    Files are named ``<date>_<hh>z_f<step>_<short name>....grib2``; only those of the steps and
+    variables asked for are opened.  ``decode`` turns a file's bytes into messages (short name,
+    level or None, values from the north and the west); any GRIB library will do.  A file that
+    cannot be decoded fails the step that needs it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, grid: Grid, decode: Callable[[bytes], Iterable[Message]], static: DataFrame | None = None) -> None:
+        self.spark, self.path, self.grid, self.decode, self._static = spark, path, grid, decode, static
+
+    def fields(self, variables: Sequence[str], levels: Sequence[int], steps: Sequence[int]) -> DataFrame:
+        if odd := sorted(set(variables) - set(SHORT_NAMES)):
+            raise ValueError(f"no short name is known for {odd}")
+        short = {SHORT_NAMES[v]: v for v in variables}
+        glob = "{" + ",".join(f"*z_f{s:03d}_{n}[._]*grib2" for s in steps for n in short) + "}"
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", glob).load(self.path)
+        step = F.regexp_extract("path", r"z_f(\d{3})_[^/]*$", 1).cast("int").alias("step")
+        decode, shape, wanted = self.decode, (self.grid.rows, self.grid.cols), set(levels)
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            r, c = (x.ravel().astype(np.int32) for x in np.indices(shape))
+            for batch in batches:
+                for at, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    for name, level, values in decode(content.as_py()):
+                        if name not in short or (level is not None and level not in wanted):
+                            continue
+                        if values.shape != shape:
+                            raise ValueError(f"{name} has {values.shape} values, not {shape}")
+                        columns = (pa.array([at] * values.size, pa.int32()), pa.array([short[name]] * values.size), pa.array([level] * values.size, pa.int32()), pa.array(r), pa.array(c), pa.array(values.ravel().astype(float)))
+                        yield pa.RecordBatch.from_arrays(list(columns), names=["step", "variable", "level", "r", "c", "v"])
+
+        return files.select(step, "content").mapInArrow(work, FIELD)
+
+    def static(self, variables: Sequence[str]) -> DataFrame:
+        if self._static is None:
+            raise ValueError("the source has no static fields")
+        return self._static.where(F.col("variable").isin(*variables)).select("variable", "r", "c", "v")
+
+
+@dataclass(frozen=True)
+class StagedCycles:
+    """Staged cycles, one folder ``<date>T<hh>Z`` for each."""
+
+    spark: SparkSession
+    path: str
+    grid: Grid
+
+    def available(self) -> DataFrame:
+        """(cycle, step) of what is staged, from folder names alone."""
+        storage = Storage(self.spark)
+        rows = []
+        for name, folder, _ in storage.names(self.path):
+            if folder and re.fullmatch(r"\d{4}-\d{2}-\d{2}T\d{2}Z", name):
+                steps = [n for n, is_folder, _ in storage.names(f"{self.path}/{name}/fields") if is_folder]
+                rows += [(name, int(n.removeprefix("step="))) for n in steps if re.fullmatch(r"step=\d+", n)]
+        named = self.spark.createDataFrame(rows, "name string, step int")
+        return named.select(F.try_to_timestamp(F.regexp_replace(F.regexp_replace("name", "Z$", ""), "T", " "), F.lit("yyyy-MM-dd HH")).alias("cycle"), "step").where("cycle IS NOT NULL")
+
+    def folder(self, date: str, hour: int) -> str:
+        return f"{self.path}/{date}T{hour:02d}Z"
+
+    def open(self, date: str, hour: int) -> StagedSource:
+        return StagedSource(self.spark, self.folder(date, hour), self.grid)
+
+
 class GridDataSource(DataSource):
     """``spark.read.format("isallobar_grid")``: synthetic fields, one partition for each step and variable.
 

@@ -3,10 +3,21 @@
 from __future__ import annotations
 
 import json
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that the driver and all executors see: that of ``spark.checkpoint.dir``, else, on one machine, a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="isallobar-")
+
+
 class Storage:
     """List, move, delete and write small files."""
 

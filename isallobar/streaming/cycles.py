@@ -53,25 +53,38 @@ def publish_arrivals(arrivals: DataFrame, catalog_path: str, checkpoint: str, ev
 
 def cycle_status(published: DataFrame) -> DataFrame:
     """How complete the cycles of a catalog table are."""
-    return catalog.completeness(published, published.select("model", "cycle").distinct())
+    return catalog.completeness(published)
 
 
-FRONT_STATE = "previous string, next_id long, last_step int"
+FRONT_STATE = "waiting string, previous string, next_id long, last_step int"
 TRACKED = "cycle timestamp, step int, front int, event_id string, parents array<string>"
+POINT_COLUMNS = ("front", "grp", "line", "section", "front_type", "i", "lon", "lat")
 
 
-def tracked_stream(points: DataFrame, settings: fronts.Settings = fronts.Settings()) -> DataFrame:
-    """Event ids of fronts as their steps arrive.
+def with_marks(points: DataFrame, steps: DataFrame) -> DataFrame:
+    """Points (cycle, step, front, ...) and, for each good step of ``steps``, a row without a front.
 
-    ``points`` has (cycle, step, front, grp, line, section, front_type, i, lon, lat).  The state of a
-    cycle is the last good step: its fronts, thinned to the points that are compared, and
-    the next free number.  A step that comes after a later one has been tracked is
-    compared with nothing and gets new ids.
+    The mark says that a step is whole; a good step without fronts has nothing but its mark.
     """
+    own = points.select("cycle", "step", *POINT_COLUMNS)
+    return own.unionByName(steps.select("cycle", "step"), allowMissingColumns=True)
 
-    def summary(part: pd.DataFrame) -> list[dict]:
+
+def tracked_stream(rows: DataFrame, settings: fronts.Settings = fronts.Settings(), keep: str = "2 days") -> DataFrame:
+    """Event ids of fronts as their steps arrive (rows of :func:`with_marks`).
+
+    A step's points wait in the state of their cycle until its mark comes, in whatever
+    batches they arrive.  Then the step is compared with the last good one: its fronts, thinned
+    to the points that are compared, and the next free number are the state.  A good step
+    without fronts ends all events, as in the batch plan.  A step whose mark comes after a
+    later one has been tracked is compared with nothing and gets new ids.  The state of a
+    cycle goes once a cycle has come that is newer by more than ``keep``.
+    """
+
+    def summary(points: list[list]) -> list[dict]:
         out = []
-        for number, own in part.sort_values(["front", "line", "section", "i"]).groupby("front"):
+        part = pd.DataFrame(points, columns=list(POINT_COLUMNS)).sort_values(["front", "line", "section", "i"])
+        for number, own in part.groupby("front"):
             km = sum(along_km(s["lon"].to_numpy(), s["lat"].to_numpy())[-1] for _, s in own.groupby(["line", "section"]))
             thin = own.iloc[:: settings.match_step]
             out.append({"front": int(number), "grp": int(own["grp"].iloc[0]), "types": sorted(set(own["front_type"])), "km": float(km), "lon": thin["lon"].tolist(), "lat": thin["lat"].tolist()})
@@ -88,21 +101,31 @@ def tracked_stream(points: DataFrame, settings: fronts.Settings = fronts.Setting
         clues = (1 - far / settings.match_km, short["km"] / long["km"] if long["km"] else 0.0, shared)
         return sum(w * c for w, c in zip(settings.match_weights, clues, strict=True)) / sum(settings.match_weights)
 
-    def step(key: tuple[datetime], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        previous, next_id, last = json.loads(state.get[0]) if state.exists else [], state.get[1] if state.exists else 0, state.get[2] if state.exists else -1
-        counter = itertools.count(next_id)
+    def take(key: tuple[datetime], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = state.get if state.exists else ("{}", "[]", 0, -1)
+        waiting, previous, last = json.loads(held[0]), json.loads(held[1]), held[3]
+        counter = itertools.count(held[2])
         fresh = (f"front_{n:04d}" for n in counter)
-        rows = pd.concat(list(batches))
+        marks: set[int] = set()
+        for batch in batches:
+            marks |= set(batch.loc[batch["front"].isna(), "step"].astype(int).tolist())
+            for at, some in batch[batch["front"].notna()].groupby("step"):
+                waiting.setdefault(str(int(at)), []).extend(some[list(POINT_COLUMNS)].to_numpy(dtype=object).tolist())
         out = []
-        for at, now in rows.groupby("step"):
-            found = summary(now)
+        for at in sorted(marks):
+            found = summary(waiting.pop(str(at), []))
             before = previous if at > last else []
             pairs = [(s, i, j) for i, a in enumerate(before) for j, b in enumerate(found) if (s := interest(a, b)) >= settings.match_least]
             ids, parents = fronts.assign_events([a["event_id"] for a in before], len(found), pairs, fresh)
-            out += [(key[0], int(at), f["front"], e, p) for f, e, p in zip(found, ids, parents, strict=True)]
+            out += [(key[0], at, f["front"], e, p) for f, e, p in zip(found, ids, parents, strict=True)]
             if at > last:
-                previous, last = [f | {"event_id": e} for f, e in zip(found, ids, strict=True)], int(at)
-        state.update((json.dumps(previous), next(counter), last))
+                previous, last = [f | {"event_id": e} for f, e in zip(found, ids, strict=True)], at
+        state.update((json.dumps(waiting), json.dumps(previous), next(counter), last))
+        state.setTimeoutTimestamp(pd.Timestamp(key[0]).value // 10**6 + 1000)  # of the watermark, which is ``keep`` behind
         yield pd.DataFrame(out, columns=["cycle", "step", "front", "event_id", "parents"])
 
-    return points.groupBy("cycle").applyInPandasWithState(step, TRACKED, FRONT_STATE, "append", GroupStateTimeout.NoTimeout)
+    timed = rows.withWatermark("cycle", keep)
+    return timed.groupBy("cycle").applyInPandasWithState(take, TRACKED, FRONT_STATE, "append", GroupStateTimeout.EventTimeTimeout)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from isallobar.functions import geo, names, physics
 from isallobar.operators import assemble, derive
 from isallobar.operators import grid as g
-from isallobar.plans.manifest import MANIFESTS, ModelManifest, VariableSpec, get_manifest
+from isallobar.plans.manifest import MODELS, Model, check_sources, get_model, on, single
 from isallobar.sources.fields import SyntheticSource, read_arrays, stage
 
 
@@ -89,29 +89,29 @@ def test_only_southern_meridional_winds_turn(spark):
 
 
 def test_channel_order_is_by_level(spark):
-    assert get_manifest("theta-e_uv_q").channel_names()[:5] == [f"{n}_{p}" for p, n in ((1000, "equivalent_potential_temperature"), (1000, "u_component_of_wind"), (1000, "v_component_of_wind"), (1000, "specific_humidity"), (925, "equivalent_potential_temperature"))]
-    assert [m.n_channels for m in MANIFESTS.values()] == [24, 25, 28, 28]
-    assert get_manifest("model_1702").channel_names()[-5:] == [v.name for v in get_manifest("model_1702").single]
-    assert get_manifest("nbs_square_dilation_trof_tt_no_inst").served_indices() == [1, 2, 3, 4, 5, 6, 7]
+    assert get_model("theta-e_uv_q").channel_names()[:5] == [f"{n}_{p}" for p, n in ((1000, "equivalent_potential_temperature"), (1000, "u_component_of_wind"), (1000, "v_component_of_wind"), (1000, "specific_humidity"), (925, "equivalent_potential_temperature"))]
+    assert [len(m.channels()) for m in MODELS.values()] == [24, 25, 28, 28]
+    assert get_model("model_1702").channel_names()[-5:] == [v for v, levels in get_model("model_1702").inputs if not levels]
+    assert get_model("nbs_square_dilation_trof_tt_no_inst").served_indices() == [1, 2, 3, 4, 5, 6, 7]
 
 
 @pytest.mark.parametrize(
     "make",
     [
-        lambda: VariableSpec("x", ()),
-        lambda: VariableSpec("x", (850, 850)),
-        lambda: ModelManifest("m", "", ()),
-        lambda: ModelManifest("m", "", (VariableSpec("x"), VariableSpec("x"))),
-        lambda: ModelManifest("m", "", (VariableSpec("x"),), served=("hail",)),
-        lambda: ModelManifest("m", "", (VariableSpec("x", (850,)), VariableSpec("y", (700,)))),
-        lambda: ModelManifest("m", "", (VariableSpec("odd"),)).check_known(),
+        lambda: on((), "x"),
+        lambda: Model("m", "", on((850, 850), "x")),
+        lambda: Model("m", "", ()),
+        lambda: Model("m", "", single("x", "x")),
+        lambda: Model("m", "", single("x"), served=("hail",)),
+        lambda: Model("m", "", on((850,), "x") + on((700,), "y")),
+        lambda: check_sources(Model("m", "", single("odd"))),
     ],
 )
 def test_bad_manifests_are_refused(make):
     with pytest.raises(ValueError):
         make()
     with pytest.raises(KeyError, match="theta-e_uv_q"):
-        get_manifest("nothing")
+        get_model("nothing")
 
 
 def test_assembly_from_a_synthetic_source(spark, tmp_path):
@@ -119,7 +119,7 @@ def test_assembly_from_a_synthetic_source(spark, tmp_path):
     source = SyntheticSource(spark, grid, seed=3)
     staged = stage(source, str(tmp_path), ["temperature", "specific_humidity", "u_component_of_wind", "v_component_of_wind", "10m_u_component_of_wind", "10m_v_component_of_wind", "2m_dewpoint_temperature"], [1000, 925, 850, 700, 500, 300], [0, 6], ["geopotential_at_surface"])
     assert staged.steps().count() == 14
-    manifest = get_manifest("spix_wce_loss_modified_dilation")
+    manifest = get_model("spix_wce_loss_modified_dilation")
     fields = staged.fields(["temperature", "specific_humidity", "u_component_of_wind", "v_component_of_wind", "10m_u_component_of_wind", "10m_v_component_of_wind", "2m_dewpoint_temperature"], manifest.levels, [0, 6])
     rows = assemble.assemble(fields, manifest, ["step"], grid, staged.static(["geopotential_at_surface"])).collect()
     assert len(rows) == 2 * 7 * 12 and all(len(x.channels) == 28 and None not in x.channels for x in rows)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from isallobar.operators import fronts, kernels
 from isallobar.operators.grid import Grid
 from isallobar.plans import catalog, cycle
-from isallobar.plans.manifest import ModelManifest, VariableSpec
+from isallobar.plans.manifest import Model, on, single
 from isallobar.sources.fields import SyntheticSource
 from isallobar.sources.storage import Storage
 
@@ -94,12 +94,12 @@ def test_trees_split_into_long_paths():
 def test_corner_angles():
     lon = np.array([0.0, 1, 2, 3, 3, 3, 3])
     lat = np.array([0.0, 0, 0, 0, 1, 2, 3])
-    assert abs(fronts.turn_at(lon, lat, 3, 100) - 90) < 1 and fronts.turn_at(lon, lat, 1, 50) < 1
+    assert abs(kernels.turn_at(lon, lat, 3, 100) - 90) < 1 and kernels.turn_at(lon, lat, 1, 50) < 1
 
 
 def test_pinned_ends_land_on_their_target():
     line = (np.linspace(0, 10, 41), np.zeros(41))
-    lon, lat = fronts.moved_end(line, True, (360.5, 1.0), 75.0)
+    lon, lat = kernels.moved_end(line, True, (360.5, 1.0), 75.0)
     assert (lon[0], lat[0]) == (0.5, 1.0) and lat[-1] == 0 and (np.diff(lat) <= 1e-12).all()
 
 
@@ -153,7 +153,7 @@ class Faulty:
 
 
 SMALL = Grid(24, 48)
-MINI = ModelManifest("mini", "", (VariableSpec("u_component_of_wind", (850,)), VariableSpec("v_component_of_wind", (850,)), VariableSpec("surface_pressure")))
+MINI = Model("mini", "", on((850,), "u_component_of_wind", "v_component_of_wind") + single("surface_pressure"))
 
 
 class Broken(SyntheticSource):
@@ -212,3 +212,142 @@ def test_arrivals_are_published_once(spark, tmp_path):
         known = spark.read.parquet(f"{tmp_path}/catalog")
         assert sorted(x.step for x in known.collect()) == [0, 6, 12][: 2 + k]
     assert cycles.cycle_status(known).first().missing == 22
+
+
+def test_streams_track_as_the_batch_plan_does(spark, tmp_path):
+    """Empty good steps, steps in several batches, and a late mark."""
+    from isallobar.streaming import cycles
+
+    steps = {0: {"cold": ridge(lambda x: 45.0, range(230, 291)), "warm": ridge(lambda x: -30.0, range(20, 60))}, 12: {"cold": ridge(lambda x: 45.0, range(230, 291))}, 18: {"cold": ridge(lambda x: 44.0, range(232, 293))}}
+    points = fronts.front_points(probabilities(spark, steps), ["cycle", "step"], GRID).withColumn("cycle", F.lit("2024-01-01").cast("timestamp")).persist()
+    known = spark.createDataFrame([(s,) for s in (0, 6, 12, 18)], "step int").select(F.lit("2024-01-01").cast("timestamp").alias("cycle"), "step")
+    rows = cycles.with_marks(points, known)
+    for step in (0, 6, 12, 18):
+        own = rows.where(F.col("step") == step)
+        for part in ("i % 2 = 0", "i % 2 = 1", "front IS NULL"):
+            own.where(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    sink = cycles.tracked_stream(stream).writeStream.outputMode("append").option("checkpointLocation", f"{tmp_path}/state").format("parquet").option("path", f"{tmp_path}/out")
+    sink.trigger(availableNow=True).start().awaitTermination()
+    key = lambda df: sorted((x.step, x.front, x.event_id, tuple(x.parents)) for x in df.collect())
+    got = key(spark.read.schema(cycles.TRACKED).parquet(f"{tmp_path}/out"))
+    assert got == key(fronts.tracked(points, known, ["cycle"])) and {e for s, _, e, _ in got if s == 12} == {"front_0002"}
+
+
+def test_models_on_different_devices_run_at_the_same_time(spark, tmp_path, monkeypatch):
+    import threading
+    import time
+
+    spans, lock = [], threading.Lock()
+
+    def step(run, source, at, folder):
+        begin = time.monotonic()
+        time.sleep(0.4)
+        with lock:
+            spans.append((run.manifest.name, begin, time.monotonic()))
+        return f"{folder}/{at.store}"
+
+    monkeypatch.setattr(cycle, "run_step", step)
+    models = [Model(n, "", single("surface_pressure")) for n in ("one", "two")]
+    for devices, together in ((("a", "b"), True), ((None, None), False)):
+        spans.clear()
+        done = cycle.run_cycle([cycle.ModelRun(m, Faulty(), d) for m, d in zip(models, devices, strict=True)], SyntheticSource(spark, SMALL), "2026-08-20", 18, f"{tmp_path}/{together}", [0])
+        assert set(done) == {"one", "two"}
+        (_, a, b), (_, c, d) = sorted(spans, key=lambda s: s[1])
+        assert (c < b) == together
+
+
+def test_pressure_without_the_ground(spark, tmp_path):
+    class NoGround(SyntheticSource):
+        def single(self, variable, step):
+            if variable == "surface_pressure":
+                raise OSError("no such field")
+            return super().single(variable, step)
+
+    name = cycle.write_pressure(NoGround(spark, SMALL), cycle.Cycle("2026-08-20", 18, 0), str(tmp_path))
+    layer = Storage(spark).read_json(f"{tmp_path}/{name}")
+    assert layer["features"] and layer["valid_time"] == "2026-08-20T18:00:00"
+
+
+def test_polls_run_the_newest_published_cycle_once(spark, tmp_path):
+    from datetime import datetime
+
+    from isallobar.plans.manifest import MODELS
+    from isallobar.sources.fields import stage
+
+    MODELS["mini"] = MINI
+    try:
+        staged, out, cache = (f"{tmp_path}/{n}" for n in ("staged", "out", "cache"))
+        source = SyntheticSource(spark, SMALL)
+        for at, steps in (("2026-08-20T06Z", (0, 6)), ("2026-08-20T12Z", (6,))):
+            stage(source, f"{staged}/{at}", ["u_component_of_wind", "v_component_of_wind", "surface_pressure"], [850], steps)
+        Storage(spark).write_text(f"{cache}/2026-08-01_00z_f000_t.grib2", "x")
+        Storage(spark).write_text(f"{cache}/2026-08-19_00z_f000_t.grib2", "x")
+        arguments = ["--poll", "--fields", staged, "--output", out, "--cache", cache, "--model", "mini", "--rows", "24", "--cols", "48", "--patch", "16", "--overlap", "6"]
+        now = datetime(2026, 8, 20, 13, 5)
+        # 12Z is not there yet with its first step, so 06Z is run; of its steps two are staged.
+        assert cycle.main(arguments, Faulty(), now) == 0
+        names = [n for n, folder, _ in Storage(spark).names(f"{out}/mini") if folder and n.endswith(".zarr")]
+        assert names == ["2026-08-20T06Z_f000.zarr", "2026-08-20T06Z_f006.zarr"]
+        assert [n for n, _, _ in Storage(spark).names(cache)] == ["2026-08-19_00z_f000_t.grib2"]
+        available = cycle_of(spark, staged)
+        assert cycle.pending_cycle(spark, available, ["mini"], out, now) == ("2026-08-20", 6)  # still lacks steps
+        for s in catalog.target_steps(6):
+            Storage(spark).write_text(f"{out}/mini/2026-08-20T06Z_f{s:03d}.zarr/_SUCCESS", "")
+        assert cycle.pending_cycle(spark, available, ["mini"], out, now) is None and cycle.main(arguments, Faulty(), now) == 0
+        assert cycle.pending_cycle(spark, available, ["mini"], out, datetime(2026, 8, 22, 13, 5)) is None  # more than a day old
+    finally:
+        del MODELS["mini"]
+
+
+def cycle_of(spark, path):
+    from isallobar.sources.fields import StagedCycles
+
+    return StagedCycles(spark, path, SMALL).available()
+
+
+def test_steps_are_traced_once_and_tracked_as_they_come(spark, tmp_path, monkeypatch):
+    traced = []
+    front_points = fronts.front_points
+
+    def counted(cells, *rest):
+        traced.append(1)
+        return front_points(cells, *rest)
+
+    monkeypatch.setattr(fronts, "front_points", counted)
+    folder = str(tmp_path)
+    drawn = {s: {"cold": ridge(lambda x, s=s: 45.0 - s / 6, range(230, 291))} for s in (0, 6, 12)}
+    entries = []
+    for step, fields in drawn.items():
+        store = cycle.Cycle("2026-08-20", 18, step).store
+        probabilities(spark, {step: fields}).select("cls", "r", "c", F.col("p").cast("float").alias("p")).write.parquet(f"{folder}/{store.removesuffix('.zarr')}.probs")
+        entries.append({"step_hours": step, "valid_time": "x", "store": store})
+        found = cycle.write_fronts(spark, folder, entries, GRID)
+        assert list(found) == [e["store"] for e in entries]
+    assert len(traced) == 3
+    ids = [{f["properties"]["event_id"] for f in Storage(spark).read_json(f"{folder}/{n}")["features"]} for n in found.values()]
+    assert ids == [{"front_0000"}] * 3
+    assert cycle.write_fronts(spark, folder, entries, GRID) == found and len(traced) == 3
+
+
+def test_files_are_decoded_where_they_are_read(spark, tmp_path):
+    import io
+
+    from isallobar.sources.fields import DecodedSource
+
+    def decode(content):
+        with np.load(io.BytesIO(content)) as f:
+            return [(k.split("@")[0], int(k.split("@")[1]) if "@" in k else None, f[k]) for k in f.files]
+
+    for step in (0, 6):
+        for name, messages in (("t", {"t@850": np.full((3, 4), 280.0 + step), "t@500": np.full((3, 4), 250.0)}), ("sp", {"sp": np.arange(12.0).reshape(3, 4)})):
+            buffer = io.BytesIO()
+            np.savez(buffer, **messages)
+            (tmp_path / f"2026-08-20_18z_f{step:03d}_{name}.grib2").write_bytes(buffer.getvalue())
+    (tmp_path / "2026-08-20_18z_f006_q.grib2").write_bytes(b"never opened")
+    source = DecodedSource(spark, str(tmp_path), Grid(3, 4), decode)
+    rows = source.fields(["temperature", "surface_pressure"], [850], [6]).collect()
+    assert len(rows) == 24 and {x.v for x in rows if x.variable == "temperature"} == {286.0} and {x.step for x in rows} == {6}
+    assert {(x.r, x.c, x.v) for x in source.single("surface_pressure", 0).collect()} == {(k // 4, k % 4, float(k)) for k in range(12)}
+    with pytest.raises(Exception, match="File|pickle|zip|format"):
+        source.fields(["specific_humidity"], [850], [6]).collect()

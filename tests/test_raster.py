@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from isallobar.operators import kernels, pressure, pyramid, tiling
 from isallobar.operators.grid import Grid
-from isallobar.plans.manifest import ModelManifest, VariableSpec
+from isallobar.plans.manifest import Model, on, single
 
 
 def test_tile_starts_end_at_the_edge():
@@ -33,7 +33,7 @@ class Constant:
         return out
 
 
-TWO = ModelManifest("two", "", (VariableSpec("surface_pressure"), VariableSpec("10m_v_component_of_wind")), classes=("background", "cold", "warm"), served=("cold", "warm"))
+TWO = Model("two", "", single("surface_pressure", "10m_v_component_of_wind"), classes=("background", "cold", "warm"), served=("cold", "warm"))
 
 
 @pytest.mark.parametrize("shape", [(24, 48), (17, 32)])
@@ -47,7 +47,7 @@ def test_constant_and_identity_predictions_come_back(spark, shape):
 
 
 def test_volumes_repeat_single_levels():
-    m = ModelManifest("v", "", (VariableSpec("temperature", (850, 700)), VariableSpec("specific_humidity", (850, 700)), VariableSpec("surface_pressure")), volumetric=True)
+    m = Model("v", "", on((850, 700), "temperature", "specific_humidity") + single("surface_pressure"), volumetric=True)
     seen = []
     tiling.Volumetric(type("P", (), {"predict_batch": lambda self, x: seen.append(x) or x})(), m).predict_batch(np.arange(5.0).reshape(1, 1, 1, 5))
     assert seen[0].shape == (1, 1, 1, 2, 3) and seen[0][0, 0, 0].tolist() == [[0, 1, 4], [2, 3, 4]]
