@@ -154,3 +154,97 @@ def test_other_ways_to_write_are_found_without_touching_clean_texts(spark):
 def test_columns_with_dots_stay(spark):
     docs = spark.createDataFrame([(1, "mail a@b.c", "x", 2)], "doc_id long, text string, `odd.name` string, pii_base int")
     assert [tuple(r) for r in pii.redact(docs).collect()] == [(1, "mail [EMAIL]", "x", 2)] and pii.redact(docs).columns == docs.columns
+
+
+BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+AT = r" ?[(\[{](?i:at)[)\]}] ?| (?i:at) "
+DOT = r" ?[(\[{](?i:dot)[)\]}] ?| (?i:dot) "
+
+
+def plain_candidates(text):
+    """(kind, start, end, features, weak label, touches a rule span) of everything that is proposed in a text."""
+    rules = [(a, b) for _, a, b in base(text)]
+    touched = lambda a, b: any(x < b and a < y for x, y in rules)
+    digits = lambda x: re.sub("[^0-9]", "", x)
+    quad = lambda x: bool(re.fullmatch(rf"{BYTE}(?:\.{BYTE}){{3}}", x))
+
+    def matches(pattern):
+        """Matches with the text around them, up to 24 characters and no farther than the next match."""
+        all_ = list(re.finditer(pattern, text))
+        edges = [0, *(m.end() for m in all_)], [*(m.start() for m in all_), len(text)]
+        return [(m, text[max(edges[0][k], m.start() - 24) : m.start()], text[m.end() : min(edges[1][k + 1], m.end() + 24)]) for k, m in enumerate(all_)]
+
+    found = [("at", *m.span(), x, y) for m, x, y in matches(r"[^\s@]+@[^\s@]+")]
+    for m, ahead, behind in matches(r"[+(]?[0-9](?:[ ().-]{0,2}[0-9]){6,}"):
+        found.append(("number", *m.span(), ahead, behind))
+        groups = [(g.start() + m.start(), g.end() + m.start()) for g in re.finditer("[0-9]+", m[0])]
+        if len(groups) == 1 or len(digits(m[0])) <= 15:
+            continue
+        for i, (a, _) in enumerate(groups):
+            gap = text[groups[i - 1][1] if i else m.start() : a]
+            room = 24 - (a - m.start())
+            for j, (_, b) in enumerate(groups[i : i + 19], i):
+                n = len(digits(text[a:b]))
+                signed = n < 13 and gap[-1:] in ("+", "(")
+                start = a - signed
+                if not 7 <= n <= 19 or (start, b) == m.span() or touched(start, b):
+                    continue
+                before = (ahead[-room:] if room > 0 else "") + gap
+                after = text[b : groups[j + 1][0] if j + 1 < len(groups) else m.end()]
+                found.append(("number", start, b, before[:-1] if signed else before, after or behind))
+    found += [("spelled", *m.span(), x, y) for m, x, y in matches(rf"[A-Za-z0-9._%+-]+(?:{AT})[A-Za-z0-9-]+(?:(?:{DOT}|\.)[A-Za-z0-9-]+)+")]
+    out = []
+    for form, a, b, before, after in found:
+        x, n = text[a:b], len(digits(text[a:b]))
+        number = form == "number"
+        size = next(k for k, top in enumerate((7, 9, 12, 16, 20, 40, 10**9)) if n < top) if number else 0
+        marks = (r"[(\[{](?i:at)[)\]}]", DOT) if form == "spelled" else (r"[()]", r"[ -]")
+        dots = x.count(".")
+        passes = number and 12 <= n <= 19 and luhn(digits(x))
+        domain = 0 if number else 2 if re.search(rf"(?:@.*\.|{AT}).*?[A-Za-z]{{2,}}[.,;:!?)]*$", x) else 1 if re.search(r"@[^@]*\.", x) else 0
+        cue = bool(re.search(pii.CUES, before))
+        glued = bool(re.search(r"\w$", before) or re.search(r"^\w", after))
+        features = [pii.FORMS[form], size, *(int(bool(re.search(k, x))) for k in marks), 0 if dots == 0 else 2 if dots == 3 else 1, int(passes), int(number and quad(x)), int(glued), int(cue), domain]
+        plain = False
+        if form == "spelled" and re.search(rf"{marks[0]}|{DOT}", x):
+            plain = bool(re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", re.sub(DOT, ".", re.sub(AT, "@", x))))
+        if number:
+            plain = 16 <= n <= 19 and luhn(digits(x))
+        kind = "email" if not number else "ip" if re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}", x) else "card" if n >= 13 else "phone"
+        out.append((kind, a, b, tuple(features), plain or touched(a, b), touched(a, b)))
+    return out
+
+
+def test_added_spans_equal_a_plain_version(spark):
+    import random
+
+    rnd = random.Random(9)
+    number = lambda k: "".join(rnd.choices("0123456789", k=k))
+    pieces = [
+        lambda: f"mail ann{number(2)}@mail.example.org", lambda: f"call +1 ({number(3)}) 555-{number(4)}", lambda: f"({number(3)}) 555-{number(4)}", lambda: number(16), lambda: f"{number(4)} {number(4)} {number(4)} {number(4)} {number(8)}",
+        lambda: "bob (at) site dot com", lambda: "carl at home.now", lambda: f"{number(2)}.{number(2)}.{number(1)}.{number(3)}", lambda: "plain words here", lambda: f"4111111111111111 {number(9)}", lambda: f"id {number(7)}", lambda: "x@y",
+    ]
+    texts = [", ".join(rnd.choice(pieces)() for _ in range(rnd.randint(1, 6))) for _ in range(500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marked = {r.doc_id: r for r in pii.with_spans(docs).collect()}
+    counts = {}
+    for k, text in enumerate(texts):
+        wanted = sorted(plain_candidates(text))
+        got = sorted((c.kind, c.start, c.end, tuple(pii.features_of(c.pattern)), c.good, c.hit) for c in marked[k].pii_candidates)
+        assert got == wanted, text
+        for c, features in ((c, pii.features_of(c.pattern)) for c in marked[k].pii_candidates):
+            key = (c.pattern, c.good, marked[k].pii_apart)
+            counts[key] = counts.get(key, 0) + 1
+    chooser = pii.fit_chooser([(*k, n) for k, n in sorted(counts.items())])
+    added = 0
+    for r in pii.find_personal_data(docs).collect():
+        spans = base(texts[r.doc_id])
+        for kind in pii.KINDS:
+            end = 0
+            for a, b in sorted(((a, b) for k, a, b, f, _, hit in plain_candidates(texts[r.doc_id]) if k == kind and not hit and chooser.score(list(f)) >= chooser.threshold), key=lambda s: (s[0], -s[1])):
+                if a >= end:
+                    spans.append((kind, a, b))
+                    end, added = b, added + 1
+        spans.sort(key=lambda s: (pii.KINDS.index(s[0]), s[1], s[2]))
+        assert r.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in spans), texts[r.doc_id]
+    assert added > 20
