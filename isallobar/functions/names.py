@@ -37,6 +37,11 @@ def parsed_store(name: Column) -> Column:
     return F.when(F.rlike(name, F.lit(STEP_STORE)), F.struct(part(1, 10).alias("date"), part(12, 2).cast("int").alias("hour"), part(17, 3).cast("int").alias("step")))
 
 
+def served_as(path: Column) -> Column:
+    """How a data path is served: not at all, for good (what lies in a store never changes), or looked at again after a minute."""
+    return F.when(F.rlike(path, F.lit(r"\.npz$")), "404").when(F.rlike(path, F.lit(r"\.zarr/")), "public, max-age=31536000, immutable").otherwise("public, max-age=60")
+
+
 def valid_time(cycle: Column, step: Column) -> Column:
     """When a forecast holds: its cycle's time and its lead time in hours."""
     return F.timestamp_add("HOUR", step, cycle)

@@ -52,6 +52,17 @@ def mean_pyramid(level_0: DataFrame, keys: list[str], levels: int = LEVELS) -> D
     return out
 
 
+def store_checks(pyramid: DataFrame) -> DataFrame:
+    """What a smoke test asks of a store, for each class: its levels, cells and missing values, its range, and whether it is sound.
+
+    Sound is a class without missing values at full resolution, all of them in [0, 1].
+    """
+    first = F.col("level") == 0
+    p = F.when(first, F.nanvl(F.col("p"), F.lit(None).cast("double")))
+    found = pyramid.groupBy("cls").agg(F.count_distinct("level").alias("levels"), F.count_if(first).alias("cells"), F.count_if(first & p.isNull()).alias("missing"), F.min(p).alias("least"), F.max(p).alias("most"))
+    return found.withColumn("sound", (F.col("missing") == 0) & (F.col("least") >= 0) & (F.col("most") <= 1))
+
+
 def packed(p: Column) -> Column:
     """A probability as a small number: clipped, halves to even, missing values 255."""
     clean = F.nanvl(p, F.lit(None).cast("double"))

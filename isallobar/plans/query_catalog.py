@@ -125,6 +125,16 @@ def stale_copies(spark, sf_dir):
     return catalog.stale_copies(source, present.where("model = 'model_F'"))
 
 
+@query(f"""WITH {LISTING}, paths AS (SELECT DISTINCT '/data/' || model || '/' || name || CASE WHEN name LIKE '%.zarr' THEN '/level=0/part.parquet' ELSE '' END AS path FROM listing
+UNION ALL SELECT '/data/m/2026-08-20T18Z_f006.probs.npz')
+SELECT path, CASE WHEN ends_with(path, '.npz') THEN '404' WHEN contains(path, '.zarr/') THEN 'public, max-age=31536000, immutable' ELSE 'public, max-age=60' END AS rule FROM paths""")
+def serving_rules(spark, sf_dir):
+    name = F.col("name")
+    paths = listing(spark, sf_dir).select(F.concat(F.lit("/data/"), "model", F.lit("/"), name, F.when(name.endswith(".zarr"), "/level=0/part.parquet").otherwise("")).alias("path")).distinct()
+    paths = paths.unionByName(spark.createDataFrame([("/data/m/2026-08-20T18Z_f006.probs.npz",)], "path string"))
+    return paths.select("path", names.served_as(F.col("path")).alias("rule"))
+
+
 @query("SELECT p_partkey, regexp_extract(x, '^(.*)_([0-9]+)$', 1) AS variable, CAST(regexp_extract(x, '^(.*)_([0-9]+)$', 2) AS INTEGER) AS level FROM (SELECT p_partkey, replace(p_name, ' ', '_') || '_' || p_size AS x FROM part)")
 def channel_split(spark, sf_dir):
     name = F.concat(F.regexp_replace("p_name", " ", "_"), F.lit("_"), F.col("p_size").cast("string"))

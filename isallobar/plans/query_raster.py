@@ -269,6 +269,13 @@ def pressure_layer(spark, sf_dir):
     return pressure.layer_text(features, ["f"], F.lit("2024-01-01T00:00:00"))
 
 
+@query(f"""WITH {PROBABILITIES}, l0 AS (SELECT cls, CASE WHEN k = 3 AND r % 7 = 0 THEN NULL ELSE p * 3 - 1e-1 END AS p FROM prob)
+SELECT cls, CAST(2 AS BIGINT) AS levels, count(*) AS cells, count(*) - count(p) AS missing, {r('min(p)')} AS least, {r('max(p)')} AS most, count(*) = count(p) AND min(p) >= 0 AND max(p) <= 1 AS sound FROM l0 GROUP BY cls""")
+def store_checks(spark, sf_dir):
+    found = pyramid.store_checks(pyramid.mean_pyramid(_gappy(spark, sf_dir), ["cls"], 2))
+    return found.select("cls", "levels", "cells", "missing", rounded("least").alias("least"), rounded("most").alias("most"), "sound")
+
+
 @query(f"""SELECT event_type, count(*) AS n, min(value) AS least, max(value) AS most, {r('CAST(sum(CAST(round_even(value * 1e2, 0) AS BIGINT)) AS DOUBLE) / (count(*) * 1e2)')} AS mean,
 count(*) FILTER (value IS NULL OR isnan(value)) AS missing, {r('CAST(count(*) FILTER (value > 5e1 AND value < 4e2) AS DOUBLE) / count(*)')} AS plausible FROM events GROUP BY event_type""")
 def field_stats(spark, sf_dir):

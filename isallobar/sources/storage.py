@@ -6,6 +6,7 @@ import json
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,6 +49,11 @@ class Storage:
         files, where = self._at(path)
         return files.getContentSummary(where).getLength()
 
+    def contents(self, path: str) -> DataFrame:
+        """Bytes and number of the files below a folder, from their listing alone."""
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.count("*").alias("files"))
+
     def move(self, path: str, to: str) -> None:
         files, where = self._at(path)
         target = self._at(to)[1]
