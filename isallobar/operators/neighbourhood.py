@@ -1,17 +1,23 @@
 """Moving windows over grids: smoothing, minima and maxima, extrema, bilinear samples.
 
-Windows are separable: one pass along rows, one along columns.  Rings are closed by
-repeating edge columns first, so every frame is an ordinary window frame.
+Windows are separable: one pass along columns, one along rows, each over some lines of a
+field at a time.  Rings are closed by repeating places of the other end.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isallobar.operators.grid import Grid, circular_pad
+from isallobar.operators.grid import Grid
+
+#: Lines of a field that are worked on together.
+LINES = 64
 
 
 def gaussian_weights(sigma: float, reach: float = 4.0) -> list[float]:
@@ -21,41 +27,80 @@ def gaussian_weights(sigma: float, reach: float = 4.0) -> list[float]:
     return [x / sum(raw) for x in raw]
 
 
-def _weighted(value: str, order: Window, weights: list[float]) -> Column:
-    """Weighted sum over neighbours; beyond the ends the end value counts."""
-    n = len(weights) // 2
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first, last = F.first(value).over(whole), F.last(value).over(whole)
-    terms = [F.lit(w) * F.coalesce((F.lead(value, k - n) if k >= n else F.lag(value, n - k)).over(order), last if k > n else first) for k, w in enumerate(weights)]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
+def over_lines(df: DataFrame, keys: list[str], axis: str, values: dict[str, str], work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], length: int) -> DataFrame:
+    """Run ``work`` along the rows (``axis`` c) or columns (``axis`` r) of fields, some lines at a time.
+
+    ``work`` gets an array (lines x places) for each of ``values`` (name: column) and returns arrays
+    of the same shape, which become columns.  A group holds ``LINES`` lines of one field, so its size
+    depends on the grid alone.  Every line must have a value at each of its ``length`` places.
+    """
+    across = "r" if axis == "c" else "c"
+    held = df.select(*keys, "r", "c", *(F.col(c).cast("double").alias(n) for n, c in values.items()))
+    blocks = held.withColumn("_lines", (F.col(across) / LINES).cast("int"))
+    head = {f.name: f.dataType.simpleString() for f in held.schema if f.name in keys}
+
+    def run(part: pa.Table) -> pa.Table:
+        line, place = (part.column(n).to_numpy() for n in (across, axis))
+        order = np.lexsort((place, line))
+        if part.num_rows % length or (place[order].reshape(-1, length) != np.arange(length)).any():
+            raise ValueError("a field does not have one value for each cell")
+        found = work({n: part.column(n).to_numpy()[order].reshape(-1, length) for n in values})
+        same = part.select([*keys, "r", "c"]).take(pa.array(order))
+        for name, array in found.items():
+            same = same.append_column(name, pa.array(np.ascontiguousarray(array).ravel()))
+        return same
+
+    names = work({n: np.zeros((1, length)) for n in values})
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in head.items()), "r int, c int", *(f"`{n}` double" for n in names)])
+    return blocks.groupBy(*keys, "_lines").applyInArrow(run, schema)
+
+
+def _beyond(x: np.ndarray, reach: int, closed: bool) -> np.ndarray:
+    """Lines with ``reach`` places more at both ends: those of the other end on a ring, else the end value."""
+    if not closed:
+        return np.pad(x, ((0, 0), (reach, reach)), mode="edge")
+    return x[:, np.arange(-reach, x.shape[1] + reach) % x.shape[1]]
+
+
+def _weighted(x: np.ndarray, weights: list[float], closed: bool) -> np.ndarray:
+    """Weighted sums over neighbours, added from the first to the last."""
+    wide = _beyond(x, len(weights) // 2, closed)
+    total = weights[0] * wide[:, : x.shape[1]]
+    for k, w in enumerate(weights[1:], 1):
+        total = total + w * wide[:, k : k + x.shape[1]]
     return total
 
 
 def smoothed(df: DataFrame, keys: list[str], value: str, grid: Grid, sigma: float = 2.0) -> DataFrame:
     """Gaussian smoothing: rows wrap on a closed grid; elsewhere the end values repeat."""
-    periodic = grid.closed
     weights = gaussian_weights(sigma)
-    n = len(weights) // 2
-    columns = Window.partitionBy(*keys, "c").orderBy("r")
-    down = df.withColumn(value, _weighted(value, columns, weights))
-    wide = circular_pad(down, grid.cols, n) if periodic else down
-    across = wide.withColumn(value, _weighted(value, Window.partitionBy(*keys, "r").orderBy("c"), weights))
-    return across.where(F.col("c").between(n, n + grid.cols - 1)).withColumn("c", F.col("c") - n) if periodic else across
+    down = over_lines(df, keys, "r", {value: value}, lambda v: {value: _weighted(v[value], weights, False)}, grid.rows)
+    return over_lines(down, keys, "c", {value: value}, lambda v: {value: _weighted(v[value], weights, grid.closed)}, grid.cols)
+
+
+def _extreme(x: np.ndarray, reach: int, closed: bool, pick: Callable) -> np.ndarray:
+    """Least or greatest value within ``reach`` places; windows double in size until they are wide enough."""
+    reach = min(reach, x.shape[1])
+    wide, have = _beyond(x, reach, closed), 1
+    size = 2 * reach + 1
+    while 2 * have <= size:
+        wide = pick(wide[:, :-have], wide[:, have:])
+        have *= 2
+    return pick(wide[:, : x.shape[1]], wide[:, size - have : size - have + x.shape[1]])
 
 
 def extremes(df: DataFrame, keys: list[str], value: str, grid: Grid, rows: int, cols: int, names: tuple[str, str] = ("low", "high")) -> DataFrame:
-    """Add the least and greatest value within ``rows`` and ``cols`` cells either side; a closed grid's rows wrap."""
-    periodic = grid.closed
-    cols = min(cols, grid.cols) if periodic else cols
-    low, high = names
-    columns = Window.partitionBy(*keys, "c").orderBy("r").rowsBetween(-rows, rows)
-    down = df.withColumns({low: F.min(value).over(columns), high: F.max(value).over(columns)})
-    wide = circular_pad(down, grid.cols, cols) if periodic else down
-    line = Window.partitionBy(*keys, "r").orderBy("c").rowsBetween(-cols, cols)
-    across = wide.withColumns({low: F.min(low).over(line), high: F.max(high).over(line)})
-    return across.where(F.col("c").between(cols, cols + grid.cols - 1)).withColumn("c", F.col("c") - cols) if periodic else across
+    """Least and greatest value within ``rows`` and ``cols`` cells either side (keys, r, c, value, names); a closed grid's rows wrap."""
+    return windowed(df, keys, value, grid, {names: (rows, cols)})
+
+
+def windowed(df: DataFrame, keys: list[str], value: str, grid: Grid, windows: dict[tuple[str, str], tuple[int, int]]) -> DataFrame:
+    """Least and greatest values over several windows (names of both: cells either side), in one pass along each axis."""
+    picks = (np.minimum, np.maximum)
+    flat = [(name, pick, reach) for names, reach in windows.items() for name, pick in zip(names, picks, strict=True)]
+    down = over_lines(df, keys, "r", {value: value}, lambda v: v | {n: _extreme(v[value], reach[0], False, pick) for n, pick, reach in flat}, grid.rows)
+    across = {n: n for n, _, _ in flat}
+    return over_lines(down, keys, "c", {value: value} | across, lambda v: {value: v[value]} | {n: _extreme(v[n], reach[1], grid.closed, pick) for n, pick, reach in flat}, grid.cols)
 
 
 def window_cells(grid: Grid, degrees: float) -> tuple[int, int]:
@@ -66,9 +111,7 @@ def window_cells(grid: Grid, degrees: float) -> tuple[int, int]:
 def candidates(df: DataFrame, keys: list[str], value: str, grid: Grid, footprint: float = 3.0, window: float = 35.0, prominence: float = 4.0, max_lat: float = 85.0, least_range: float = 1e-3) -> DataFrame:
     """Cells that are the lowest (L) or highest (H) of their footprint and stand out in their window."""
     radius = window_cells(grid, footprint)[0]
-    near = extremes(df, keys, value, grid, radius, radius)
-    rows, cols = window_cells(grid, window)
-    far = extremes(near, keys, value, grid, rows, cols, ("least", "most"))
+    far = windowed(df, keys, value, grid, {("low", "high"): (radius, radius), ("least", "most"): window_cells(grid, window)})
     v = F.col(value)
     varied = (F.col("high") - F.col("low") > least_range) & (F.abs(grid.lat()) <= max_lat)
     kinds = F.array_compact(F.array(F.when((v == F.col("low")) & (F.col("most") - v >= prominence), "L"), F.when((v == F.col("high")) & (v - F.col("least") >= prominence), "H")))
