@@ -70,6 +70,22 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+class Scratch:
+    """Settled frames of one operator, deleted together once its own result is settled."""
+
+    def __init__(self) -> None:
+        self.held: list[DataFrame] = []
+
+    def settle(self, df: DataFrame, label: str) -> DataFrame:
+        self.held.append(settle(df, label))
+        return self.held[-1]
+
+    def clear(self) -> None:
+        for df in self.held:
+            discard(df)
+        self.held.clear()
+
+
 def slices(sizes: Iterable[int], budget: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Consecutive ranges whose sizes add up to about ``budget`` (one item at least)."""
     start = held = count = 0

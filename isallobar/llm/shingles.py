@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from isallobar.llm import simhash
 from isallobar.llm.bpe import batch_texts
-from isallobar.llm.common import as_row, settle
+from isallobar.llm.common import Scratch, as_row, settle
 from isallobar.llm.graph import components
 from isallobar.llm.simhash import fingerprint_of, shingle_hashes
 
@@ -116,11 +116,11 @@ def _alike(s: Column, t: Column) -> Column:
     return (F.least(s["n"], t["n"]) * whole >= F.greatest(s["n"], t["n"]) * part) & (bits <= APART)
 
 
-def _close_pairs(marked: DataFrame) -> DataFrame:
+def _close_pairs(marked: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs (``a``, ``b``) that connect the nodes of linked fingerprints."""
-    least = settle(marked.groupBy("fp").agg(F.min("node").alias("a")), "least")
+    least = scratch.settle(marked.groupBy("fp").agg(F.min("node").alias("a")), "least")
     same = marked.join(least, "fp").where("node <> a").select("a", F.col("node").alias("b"))
-    found = simhash.links(least.select("fp")).distinct()
+    found = simhash.links(least.select("fp"), scratch).distinct()
     one, two = least.toDF("f", "x"), least.toDF("g", "y")
     across = found.join(one, F.col("a") == F.col("f")).join(two, F.col("b") == F.col("g")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     return same.unionByName(across)
@@ -185,35 +185,39 @@ def _cell_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
     return cells.groupBy("key", "lo", "hi").applyInArrow(work, "a bigint, b bigint")
 
 
-def links(texts: DataFrame) -> DataFrame:
+def links(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Edges (``a``, ``b``) between the nodes of rows (``node``, ``text``) that connect what proposed links connect."""
-    marked = settle(_signatures(texts).dropDuplicates(["node"]), "signatures")
+    marked = scratch.settle(_signatures(texts).dropDuplicates(["node"]), "signatures")
     sketch = F.struct("n", F.get("keys", F.lit(BANDS)).alias("low"), F.get("keys", F.lit(BANDS + 1)).alias("high")).alias("s")
     rows = marked.select("node", sketch, F.explode(F.slice("keys", 1, BANDS)).alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    met = settle(rows.join(shared, "key"), "bands")
+    met = scratch.settle(rows.join(shared, "key"), "bands")
     # Every member with the next ones of its band, in an order of the band's own, and with close fingerprints.
     run = F.pmod(F.xxhash64("key", "node"), F.ceil(F.col("m") / RUN))
     order = Window.partitionBy("key", run).orderBy(F.xxhash64("node", "key"), "node")
     after = F.array(*(F.lead(F.struct("node", "s"), k).over(order) for k in range(1, NEXT + 1)))
     some = met.select("node", "s", after.alias("after")).select("node", "s", F.explode(F.array_compact("after")).alias("other"))
     some = some.where(_alike(F.col("s"), F.col("other.s"))).select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b"))
-    some = settle(some.unionByName(_close_pairs(marked)).distinct(), "proposed")
+    some = scratch.settle(some.unionByName(_close_pairs(marked, scratch)).distinct(), "proposed")
     wanted = met.select("node").union(some.select("a")).union(some.select("b")).distinct()
-    sets = settle(_sets(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])).join(marked.select("node", "keys"), "node"), "sets")
-    near = settle(_verified(some, sets.select("node", "hashes")), "near")
+    sets = scratch.settle(_sets(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])).join(marked.select("node", "keys"), "node"), "sets")
+    near = scratch.settle(_verified(some, sets.select("node", "hashes")), "near")
     # All members that are still apart.
-    placed = settle(met.join(components(near), "node", "left").select("key", "node", "s", F.coalesce("component", "node").alias("class")), "placed")
-    return near.unionByName(settle(_cell_links(placed, sets), "near"))
+    placed = scratch.settle(met.join(components(near), "node", "left").select("key", "node", "s", F.coalesce("component", "node").alias("class")), "placed")
+    return near.unionByName(scratch.settle(_cell_links(placed, sets), "near"))
 
 
 def near_groups(texts: DataFrame) -> DataFrame:
-    """``node`` and ``component`` of every distinct text of rows (``node``, ``text``)."""
+    """``node`` and ``component`` of every distinct text of rows (``node``, ``text``), settled."""
+    scratch = Scratch()
     nodes = texts.select("node").distinct()
-    return nodes.join(components(links(texts)), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    found = nodes.join(components(links(texts, scratch)), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    found = settle(found, "groups")
+    scratch.clear()
+    return found
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """Keep one row of each group of near-duplicates, all columns unchanged (see :func:`simhash.keep_first`)."""
-    groups = settle(near_groups(docs.select(node_of(), "text")), "groups")
+    groups = near_groups(docs.select(node_of(), "text"))
     return simhash.keep_first(docs.select("doc_id", node_of(), as_row(docs)).join(groups, "node"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isallobar.llm.bpe import batch_texts
-from isallobar.llm.common import as_row, settle
+from isallobar.llm.common import Scratch, as_row, settle
 from isallobar.llm.graph import components
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
@@ -84,10 +84,10 @@ def _keyed(rows: DataFrame, masks: list[list[int]]) -> DataFrame:
     return each.select((F.col("kid") * len(masks[0]) + F.col("turn")).alias("kid"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 
-def links(nodes: DataFrame, hot: int = HOT) -> DataFrame:
+def links(nodes: DataFrame, scratch: Scratch, hot: int = HOT) -> DataFrame:
     """Edges (``a``, ``b``) for all pairs of the distinct fingerprints ``fp`` within two bits.
 
-    A pair that shares several keys comes several times.
+    A pair that shares several keys comes several times.  What is settled on the way is in ``scratch``.
     """
     found, rows, masks = None, nodes.select("fp", F.lit(0).alias("kid")), [0]
     for level in range(LEVELS):
@@ -96,7 +96,7 @@ def links(nodes: DataFrame, hot: int = HOT) -> DataFrame:
         keyed = _keyed(rows, split)
         if level + 1 < LEVELS:
             crowded = keyed.groupBy("kid", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("kid", "key")
-            rows = settle(keyed.join(crowded, ["kid", "key"], "left_semi").select("fp", "kid"), "crowded")
+            rows = scratch.settle(keyed.join(crowded, ["kid", "key"], "left_semi").select("fp", "kid"), "crowded")
             keyed = keyed.join(crowded, ["kid", "key"], "left_anti")
         left, right = keyed.withColumnRenamed("fp", "a"), keyed.withColumnRenamed("fp", "b")
         close = left.join(right, ["kid", "key"]).where("a < b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE).select("a", "b")
@@ -117,10 +117,12 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     """
     marked = settle(fingerprints(docs, words), "fingerprints")
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    classes = settle(components(links(nodes.select("fp"))), "classes")
+    scratch = Scratch()
+    classes = scratch.settle(components(links(nodes.select("fp"), scratch)), "classes")
     owned = nodes.join(classes.withColumnRenamed("node", "fp"), "fp")
     smallest = owned.groupBy("component").agg(F.min("least").alias("component_id"))
     grouped = settle(owned.select("fp", "component").join(smallest, "component").select("fp", "component_id"), "grouped")
+    scratch.clear()
     single = nodes.join(grouped.select("fp"), "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
     named = grouped.unionByName(single)
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isallobar.llm.common import settle, slices
+from isallobar.llm.common import Scratch, settle, slices
 
 #: Plain bytes in a frame and in a bundle, and the compression level.
 FRAME_BYTES, BUNDLE_BYTES, LEVEL = 1 << 18, 8 << 20, 3
@@ -160,7 +160,7 @@ def read_records(bundle: bytes, index: list[dict]) -> Iterator[tuple[dict[str, s
         yield fields, body
 
 
-def _with_twins(chosen: DataFrame, twins: DataFrame) -> DataFrame:
+def _with_twins(chosen: DataFrame, twins: DataFrame, scratch: Scratch) -> DataFrame:
     """Rows that repeat another's page id and payload, told apart by ``copy``.
 
     Equal rows are folded before they are dealt out again.  Of those with the group's largest
@@ -169,7 +169,7 @@ def _with_twins(chosen: DataFrame, twins: DataFrame) -> DataFrame:
     same = F.broadcast(twins) if twins.count() <= BROADCAST_ROWS else twins
     on = (chosen["sha"] == same["sha_"]) & (chosen["n"] == same["n_"]) & chosen["page_id"].eqNullSafe(same["page_id_"])
     many = chosen.join(same, on, "left_semi").groupBy("page_id", "url", "sha", "n", "kept").agg(F.count("*").alias("rows"), F.first("payload").alias("payload"))
-    many = settle(many, "twins")
+    many = scratch.settle(many, "twins")
     each = many.select("page_id", "url", "payload", "sha", "n", "kept", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("turn"))
     first = many.where(F.col("page_id").eqNullSafe(F.col("kept"))).groupBy("sha", "n").agg(F.min(F.struct(F.col("url").isNull().alias("none"), "url")).alias("least"))
     led = each.join(first, ["sha", "n"], "left")
@@ -194,9 +194,10 @@ def write_bundles(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", url.alias("url"), html.alias("payload"))
-    each = settle(rows.select("page_id", F.sha1("payload").alias("sha"), F.length("payload").alias("n")).groupBy("sha", "n", "page_id").agg(F.count("*").alias("same")), "payloads")
+    scratch = Scratch()
+    each = scratch.settle(rows.select("page_id", F.sha1("payload").alias("sha"), F.length("payload").alias("n")).groupBy("sha", "n", "page_id").agg(F.count("*").alias("same")), "payloads")
     groups = each.where(F.col("n") >= least).groupBy("sha", "n").agg(F.max("page_id").alias("kept"), F.sum("same").alias("copies"))
-    repeated = settle(groups.where("copies > 1 AND kept IS NOT NULL").select("sha", "n", "kept"), "repeated")
+    repeated = scratch.settle(groups.where("copies > 1 AND kept IS NOT NULL").select("sha", "n", "kept"), "repeated")
     twins = each.where("same > 1").select(F.col("sha").alias("sha_"), F.col("n").alias("n_"), F.col("page_id").alias("page_id_"))
     keyed = rows.select("*", F.sha1("payload").alias("sha"), F.length("payload").alias("n"))
     found = keyed.join(F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated, ["sha", "n"], "left")
@@ -204,7 +205,7 @@ def write_bundles(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     if twins.isEmpty():
         chosen = chosen.withColumn("copy", F.lit(None).cast("long"))
     else:
-        chosen = _with_twins(chosen, settle(twins, "twins"))
+        chosen = _with_twins(chosen, scratch.settle(twins, "twins"), scratch)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -230,7 +231,9 @@ def write_bundles(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
 
     shape = "bundle_id bigint, data binary, index array<struct<record_id: string, frame: int, offset: bigint, length: bigint>>"
     ordered = chosen.select(F.col("page_id").cast("long"), "url", "payload", F.col("kept").cast("long"), "revisit", "copy")
-    return settle(ordered.mapInArrow(work, shape), "bundles")
+    bundles = settle(ordered.mapInArrow(work, shape), "bundles")
+    scratch.clear()
+    return bundles
 
 
 def read_bundles(bundles: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 import xxhash
 
 from isallobar.llm import ann, graph, licences, quality, simhash, warc
+from isallobar.llm.common import Scratch
 from tests.llm.fixtures import TEXTS, documents, empty, prose
 
 
@@ -57,7 +58,7 @@ def test_links_connect_as_all_pairs_do(spark, hot):
     nodes = sorted(values)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     wanted = plain_components([(a, b) for i, a in enumerate(nodes) for b in nodes[:i] if (a ^ b).bit_count() <= 2], nodes)
-    edges = simhash.links(spark.createDataFrame([(signed(x),) for x in nodes], "fp long"), hot=hot)
+    edges = simhash.links(spark.createDataFrame([(signed(x),) for x in nodes], "fp long"), Scratch(), hot=hot)
     got_pairs = [(r.a % (1 << 64), r.b % (1 << 64)) for r in edges.collect()]
     assert all((a ^ b).bit_count() <= 2 for a, b in got_pairs)
     assert plain_components(got_pairs, nodes) == wanted
