@@ -11,7 +11,9 @@ fillings of the room beside it, prune those whose waste cannot beat the incumben
 branch over what remains, each filling as often as the counts allow and once.
 Best-fit decreasing gives the first incumbent; where it meets the lower bound no branch
 can beat it, and the search is over at its root.  Bounds on the search are parameters:
-beyond them the best plan found so far is returned, never one that is worse.
+beyond them the best plan found so far is returned, never one that is worse.  All nodes
+share one histogram of what is left, and only the deepest keep their fillings; others
+enumerate them again on return, so the path from the root takes little memory.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,8 @@ from isallobar.llm.common import settle
 CAPACITY = 2048
 #: Nodes of the search beyond two for each length, and nodes visited for the fillings of one node.
 NODES, FILLING_NODES = 3000, 400
+#: Deepest nodes of the search that keep their fillings.
+KEPT = 16
 
 PIECE_SCHEMA = "piece int, start bigint, length bigint, ids_crc32 bigint, part int, row bigint"
 
@@ -128,12 +133,14 @@ def least_sequences(counts: dict[int, int], capacity: int) -> int:
 
 @dataclass
 class Node:
-    """What is left to pack, the waste and the sequences so far, and the fillings not yet tried."""
+    """The filling that led here, the waste and the sequences so far, how many fillings are tried, and those not yet tried, if kept."""
 
-    counts: dict[int, int]
+    filling: tuple[tuple[int, int], ...]
+    times: int
     waste: int
     used: int
-    options: Iterator[tuple[int, tuple[tuple[int, int], ...], int]]
+    tried: int = 0
+    options: Iterator[tuple[int, tuple[tuple[int, int], ...], int]] | None = None
 
 
 def _options(counts: dict[int, int], capacity: int) -> Iterator[tuple[int, tuple[tuple[int, int], ...], int]]:
@@ -169,34 +176,39 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, nodes: int =
     total = sum(x * n for x, n in counts.items())
     if _sequences(best) <= floor:
         return best
-    path: list[Filling] = []
-    stack = [Node(counts, 0, 0, _options(counts, capacity))]
+    rest = dict(counts)
+    stack = [Node((), 0, 0, 0)]
     left = nodes + 2 * len(counts)
     while stack and left and _sequences(best) > floor:
         node = stack[-1]
+        if node.options is None:
+            node.options = islice(_options(rest, capacity), node.tried, None)
         option = next(node.options, None)
         if option is None:
             stack.pop()
-            if path:
-                path.pop()
+            for x, n in node.filling:
+                rest[x] = rest.get(x, 0) + n * node.times
             continue
+        node.tried += 1
         lost, whole, times = option
         waste, used = node.waste + lost * times, node.used + times
         # Any plan that beats the incumbent wastes at most this much in all.
         if waste > (_sequences(best) - 1) * capacity - total:
             continue
         left -= 1
-        rest = dict(node.counts)
         for x, n in whole:
             rest[x] -= n * times
             if not rest[x]:
                 del rest[x]
-        path.append(Filling(tuple(x for x, n in whole for _ in range(n)), times))
         if rest:
-            stack.append(Node(rest, waste, used, _options(rest, capacity)))
+            stack.append(Node(whole, times, waste, used))
+            if len(stack) > KEPT:
+                stack[-KEPT - 1].options = None
             continue
-        best = list(path)  # the waste bound holds, so it is better
-        path.pop()
+        # The waste bound holds, so it is better.
+        best = [Filling(tuple(x for x, n in f for _ in range(n)), k) for f, k in [*((n.filling, n.times) for n in stack[1:]), (whole, times)]]
+        for x, n in whole:
+            rest[x] = rest.get(x, 0) + n * times
     return best
 
 

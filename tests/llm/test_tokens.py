@@ -4,6 +4,7 @@ import functools
 import hashlib
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -151,6 +152,21 @@ def test_search_beats_best_fit_and_holds_out_on_long_runs():
     assert sum(f.times for f in plan) == 3_000_007
 
 
+def test_search_of_many_lengths_takes_little_memory():
+    rnd = random.Random(1)
+    counts = {x: rnd.randint(1, 9) for x in rnd.sample(range(300, 2000), 700)}
+    assert sum(f.times for f in packing.best_fit_decreasing(counts, 2048)) > packing.least_sequences(counts, 2048)
+    tracemalloc.start()
+    plan = packing.plan_packing(dict(counts), nodes=0)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    placed = Counter()
+    for f in plan:
+        assert sum(f.lengths) <= 2048
+        placed.update({x: n * f.times for x, n in Counter(f.lengths).items()})
+    assert placed == counts and most < 4_000_000
+
+
 def test_fillings_are_those_of_brute_force():
     rnd = random.Random(2)
     for _ in range(40):
