@@ -18,6 +18,7 @@ came before in it and a colour cache.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import hashlib
 import struct
@@ -44,6 +45,8 @@ TOGETHER = 256
 SLICE, STORED = 2_000_000, 4_000_000
 #: Payload bytes whose frames are encoded at once: the arrays of more leave the processor's caches.
 ENCODED = 500_000
+#: Freed bytes that a worker's allocator keeps, and the most that it does not map on its own.
+KEPT, UNMAPPED = 128 << 20, 32 << 20
 #: Longest prefix code of the payload writer, and of the format.
 WRITER_BITS, MOST_BITS = 10, 15
 # The order in which the lengths of the code length code are stored.
@@ -1166,6 +1169,17 @@ def features(payload: bytes) -> str:
     return ",".join(map(str, [int((counts * np.arange(256)).sum()), int((counts > 0).sum()), *bins.tolist()]))
 
 
+@functools.cache
+def keep_memory() -> None:
+    """Let the C allocator keep what arrays free, within bounds, as giving it back and asking anew costs page faults."""
+    try:
+        mallopt = ctypes.CDLL(None).mallopt
+    except (OSError, AttributeError):
+        return
+    # M_TRIM_THRESHOLD and M_MMAP_THRESHOLD.
+    mallopt(-1, KEPT), mallopt(-3, UNMAPPED)
+
+
 def media_table(docs: DataFrame) -> DataFrame:
     """Store every whole text as a lossless WebP image.
 
@@ -1176,6 +1190,7 @@ def media_table(docs: DataFrame) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         for keys, texts in batch_texts(batches, SLICE):
             raw = [t.encode() for t in texts]
             yield pa.RecordBatch.from_arrays([keys, pa.array([len(r) for r in raw], pa.int64()), pa.array(encode_payloads([padded(r) for r in raw]), pa.binary())], names=["doc_id", "n_bytes", "media"])
@@ -1197,6 +1212,7 @@ def read_media(media: DataFrame) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         for batch in batches:
             size = [len(x) for x in batch.column(2).to_pylist()]
             for start, end in slices(size, STORED):
